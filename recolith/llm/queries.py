@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from recolith.llm.op1_query import op1_sentencepiece
 from recolith.llm.op4_query import op4_wavelet_matrix
+from recolith.llm.op8_query import op8_minhash_odd_sketch
 from recolith.llm.op9_query import op9_pii
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_wavelet_matrix": op4_wavelet_matrix,
+    "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
     "op9_pii": op9_pii,
 }
 

@@ -128,4 +128,4 @@ def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     out = h[:m] * MIX[0]
     for k in range(1, n):
         out = out + h[k : k + m] * MIX[k]
-    return mix64(out + np.uint64(n) * MIX[62])
+    return mix64(out + np.uint64(n * int(MIX[62]) % 2**64))
