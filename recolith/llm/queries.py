@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recolith.llm.op10_query import op10_winnowing
 from recolith.llm.op1_query import op1_sentencepiece
 from recolith.llm.op4_query import op4_wavelet_matrix
 from recolith.llm.op8_query import op8_minhash_odd_sketch
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_wavelet_matrix": op4_wavelet_matrix,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
     "op9_pii": op9_pii,
+    "op10_winnowing": op10_winnowing,
 }
 
 ORACLES: dict[str, str] = {}
