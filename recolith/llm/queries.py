@@ -6,6 +6,7 @@ from recolith.llm.op10_query import op10_winnowing
 from recolith.llm.op1_query import op1_sentencepiece
 from recolith.llm.op2_query import op2_line_dedup
 from recolith.llm.op4_query import op4_wavelet_matrix
+from recolith.llm.op6_query import op6_histogram_sort
 from recolith.llm.op8_query import op8_minhash_odd_sketch
 from recolith.llm.op9_query import op9_pii
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
     "op4_wavelet_matrix": op4_wavelet_matrix,
+    "op6_histogram_sort": op6_histogram_sort,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
     "op9_pii": op9_pii,
     "op10_winnowing": op10_winnowing,
