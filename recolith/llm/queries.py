@@ -5,6 +5,8 @@ from __future__ import annotations
 from recolith.llm.op10_query import op10_winnowing
 from recolith.llm.op1_query import op1_sentencepiece
 from recolith.llm.op2_query import op2_line_dedup
+from recolith.llm.op3_query import SQL as OP3_SQL
+from recolith.llm.op3_query import op3_embedding_dedup
 from recolith.llm.op4_query import op4_wavelet_matrix
 from recolith.llm.op6_query import op6_histogram_sort
 from recolith.llm.op8_query import op8_minhash_odd_sketch
@@ -13,6 +15,7 @@ from recolith.llm.op9_query import op9_pii
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_wavelet_matrix": op4_wavelet_matrix,
     "op6_histogram_sort": op6_histogram_sort,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
@@ -20,4 +23,6 @@ QUERIES = {
     "op10_winnowing": op10_winnowing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_embedding_dedup": OP3_SQL,
+}
