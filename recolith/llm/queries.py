@@ -8,6 +8,7 @@ from recolith.llm.op2_query import op2_line_dedup
 from recolith.llm.op3_query import SQL as OP3_SQL
 from recolith.llm.op3_query import op3_embedding_dedup
 from recolith.llm.op4_query import op4_wavelet_matrix
+from recolith.llm.op5_query import op5_weak_labels
 from recolith.llm.op6_query import op6_histogram_sort
 from recolith.llm.op8_query import op8_minhash_odd_sketch
 from recolith.llm.op9_query import op9_pii
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_wavelet_matrix": op4_wavelet_matrix,
+    "op5_weak_labels": op5_weak_labels,
     "op6_histogram_sort": op6_histogram_sort,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
     "op9_pii": op9_pii,

@@ -46,11 +46,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _hash_words(buf: np.ndarray, breaks: np.ndarray, sep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of ``buf`` and their first bytes; ``breaks`` are offsets no word crosses."""
+def _hash_words(buf: np.ndarray, breaks: np.ndarray, sep: np.ndarray, prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of ``buf`` and the places of their first bytes; ``breaks`` are offsets that no
+    word crosses. With a prefix, a second row of hashes is of the words' first so many bytes."""
     n = len(buf)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros((2, 0) if prefix else 0, np.uint64), np.zeros(0, np.int64)
     x = LOWER[buf]
     inside = ~sep[x]
     first = inside.copy()
@@ -67,8 +68,11 @@ def _hash_words(buf: np.ndarray, breaks: np.ndarray, sep: np.ndarray) -> tuple[n
     acc = np.empty(n + 1, np.uint64)
     acc[0] = 0
     np.cumsum(_BYTE[x] * up[:n], out=acc[1:])
-    h = (acc[ends + 1] - acc[starts]) * down[starts]
-    return mix64(h + (ends - starts + 1).astype(np.uint64) * MIX[63]), starts
+
+    def of(ends: np.ndarray) -> np.ndarray:
+        return mix64((acc[ends + 1] - acc[starts]) * down[starts] + (ends - starts + 1).astype(np.uint64) * MIX[63])
+
+    return np.stack([of(ends), of(np.minimum(ends, starts + prefix - 1))]) if prefix else of(ends), starts
 
 
 def _pieces(buf: np.ndarray, sep: np.ndarray) -> Iterator[np.ndarray]:
@@ -94,7 +98,7 @@ def words_of(text: str | bytes | None, sep: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def batches_of_words(column: pa.Array, sep: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def batches_of_words(column: pa.Array, sep: np.ndarray, prefix: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, word hashes, offsets by row) over an Arrow string column; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -110,12 +114,12 @@ def batches_of_words(column: pa.Array, sep: np.ndarray) -> Iterator[tuple[int, i
         hi = min(n, max(hi, lo + 1))
         a, b = int(offsets[lo]), int(offsets[hi])
         if hi == lo + 1 and b - a > CHUNK:
-            parts = [_hash_words(p, np.zeros(0, np.int64), sep)[0] for p in _pieces(data[a:b], sep)]
-            h = np.concatenate(parts)
-            yield lo, hi, h, np.array([0, len(h)])
+            parts = [_hash_words(p, np.zeros(0, np.int64), sep, prefix)[0] for p in _pieces(data[a:b], sep)]
+            h = np.concatenate(parts, axis=-1)
+            yield lo, hi, h, np.array([0, h.shape[-1]])
         else:
             rel = offsets[lo : hi + 1] - a
-            h, starts = _hash_words(data[a:b], rel, sep)
+            h, starts = _hash_words(data[a:b], rel, sep, prefix)
             yield lo, hi, h, np.searchsorted(starts, rel)
         lo = hi
 
