@@ -10,6 +10,8 @@ from recolith.llm.op3_query import op3_embedding_dedup
 from recolith.llm.op4_query import op4_wavelet_matrix
 from recolith.llm.op5_query import op5_weak_labels
 from recolith.llm.op6_query import op6_histogram_sort
+from recolith.llm.op7_query import SQL as OP7_SQL
+from recolith.llm.op7_query import op7_stupid_backoff
 from recolith.llm.op8_query import op8_minhash_odd_sketch
 from recolith.llm.op9_query import op9_pii
 
@@ -20,6 +22,7 @@ QUERIES = {
     "op4_wavelet_matrix": op4_wavelet_matrix,
     "op5_weak_labels": op5_weak_labels,
     "op6_histogram_sort": op6_histogram_sort,
+    "op7_stupid_backoff": op7_stupid_backoff,
     "op8_minhash_odd_sketch": op8_minhash_odd_sketch,
     "op9_pii": op9_pii,
     "op10_winnowing": op10_winnowing,
@@ -27,4 +30,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_embedding_dedup": OP3_SQL,
+    "op7_stupid_backoff": OP7_SQL,
 }
