@@ -6,13 +6,14 @@ candidates. The minima are also folded into an odd sketch, a bitmap of parities:
 of two sketches estimates how many minima differ. A pair is put to the exact test (on the full sets) unless its
 sketches lie more than about five standard deviations from what similarity 0.75 gives.
 
-Within a key no set of all pairs is made. First every member is tested against the key's smallest id; components
-are formed from the links; then only members outside the component of the smallest id meet the members of other
-components, so what is linked already costs nothing more. Every candidate pair is thus either tested or already
-connected. A pair at similarity 0.75 is missed with probability below 3e-7 (40 bands of 4).
+Within a key no set of all pairs is made. First every member is tested against the key's smallest id, and
+components are formed from the links. Members of keys that then still hold several components meet by their
+rarest shingles (prefix filter, exact), only across components, and are paired only if odd sketches of the whole
+sets allow it (a lower bound of the true difference, so exact too). Every candidate pair is thus tested, connected
+already, or proven too different. A pair at similarity 0.75 is missed with probability below 3e-7 (40 bands of 4).
 
 Defined results: null, empty or blank texts have an empty set (n_shingles 0) and link with nothing. Repeated
-rows of one id count as one document of that id and are returned once each. Only the id and text columns are
+rows of one id count as one document of that id and are returned once each; rows without an id are left out. Only the id and text columns are
 read. An empty table gives an empty result. Long texts are hashed in pieces of a megabyte.
 """
 
@@ -22,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recolith.llm.components import components
@@ -35,6 +36,8 @@ HASHES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Differing sketch bits: 68.7 are expected at similarity 0.75, with a standard deviation of about 9.
 MAX_BITS = 115
+#: Bits of the second sketch, of the whole set.
+SET_BITS = 1024
 
 _RNG = np.random.default_rng(0x0DD)
 _XOR = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -75,13 +78,19 @@ def odd_sketch(mins: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)
 
 
+def set_parity(sets: np.ndarray) -> np.ndarray:
+    """Odd sketch of the whole set: differing bits of two such sketches never outnumber differing elements."""
+    odd = np.bincount((sets % np.uint64(SET_BITS)).astype(np.int64), minlength=SET_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)
+
+
 def _features(docs: DataFrame) -> DataFrame:
     """(id, n, s1, s2, bands, sketch): s1 and s2 identify the set."""
 
     def run(batches):
         for batch in batches:
             for lo, hi, h, at in batches_of_words(batch.column(1), SPACES):
-                n, ids, b, sk = [], [], [], []
+                n, ids, b, sk, par = [], [], [], [], []
                 for r in range(hi - lo):
                     s = shingles(h[at[r] : at[r + 1]])
                     n.append(len(s))
@@ -91,16 +100,18 @@ def _features(docs: DataFrame) -> DataFrame:
                         m = minima(s)
                         b.append(bands(m))
                         sk.append(odd_sketch(m))
+                        par.append(set_parity(s))
                     else:
                         ids.append((None, None))
                         b.append(None)
                         sk.append(None)
+                        par.append(None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()), pa.array(b, pa.list_(pa.int64())), pa.array(sk, pa.list_(pa.int64()))],
-                    ["id", "n", "s1", "s2", "bands", "sketch"],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()), pa.array(b, pa.list_(pa.int64())), pa.array(sk, pa.list_(pa.int64())), pa.array(par, pa.list_(pa.int64()))],
+                    ["id", "n", "s1", "s2", "bands", "sketch", "parity"],
                 )
 
-    return docs.mapInArrow(run, "id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>")
+    return docs.mapInArrow(run, "id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -138,16 +149,51 @@ def _differing(x: str, y: str):
     return sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
 
 
+def _rarest(docs: DataFrame, unsure: DataFrame, size: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Pairs (a, b) of unsure sets (rep, component c) of different components that can be similar enough.
+
+    In one order of all shingles, rare ones first, similar sets share one among the first n - ceil(t n) + 1 of
+    either. Sets that have just a widespread passage in common share none of those. In the group of a shingle the
+    members of the component of its smallest id don't meet each other."""
+
+    def grams(batches):
+        for batch in batches:
+            for lo, hi, h, at in batches_of_words(batch.column(1), SPACES):
+                sets = [shingles(h[at[r] : at[r + 1]]) for r in range(hi - lo)]
+                n = np.array([len(x) for x in sets])
+                ids = batch.column(0).slice(lo, hi - lo).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "n", "g"])
+
+    some = docs.join(unsure.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    rows = scratch.save(some.select("id", "text").mapInArrow(grams, "rep bigint, n bigint, g bigint"), "grams")
+    spread = scratch.save(rows.groupBy("g").agg(F.count("*").alias("df")), "spread")
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "g"))
+    head = rows.join(spread, "g").withColumn("k", place).filter(F.col("k") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    head = scratch.save(head.filter("df > 1").select("g", "rep").join(unsure, "rep"), "head")
+    first = head.groupBy("g").agg(F.min(F.struct("rep", "c")).alias("f"), F.min("c").alias("least"), F.max("c").alias("most"))
+    first = scratch.save(first.filter("least <> most").select("g", F.col("f.c").alias("cf")), "heads")
+    side = scratch.save(head.join(first, "g").join(size.withColumnRenamed("id", "rep"), "rep"), "sides")
+    longs = range(SET_BITS // 64)
+    x = side.filter("c <> cf").select("g", F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("ka"), *[F.col("parity")[k].alias(f"pa{k}") for k in longs])
+    y = side.select(F.col("g").alias("gb"), F.col("rep").alias("b"), F.col("c").alias("cb"), "cf", F.col("n").alias("nb"), F.col("sketch").alias("kb"), *[F.col("parity")[k].alias(f"pb{k}") for k in longs])
+    once = (F.col("cb") == F.col("cf")) | (F.col("a") < F.col("b"))
+    differing = sum((F.bit_count(F.col(f"pa{k}").bitwiseXOR(F.col(f"pb{k}"))) for k in longs), F.lit(0))
+    # similar sets differ in (100 - percent) / (100 + percent) of the sum of their sizes at most
+    close = (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")) & (differing * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (_differing("ka", "kb") <= MAX_BITS)
+    met = x.join(y, (F.col("g") == F.col("gb")) & (F.col("ca") != F.col("cb")) & once & close)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     scratch = Scratch(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     rows = scratch.save(_features(docs), "features")
     classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep"))
     classes = scratch.save(classes, "classes")
     reps = rows.filter("n > 0").join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    reps = scratch.save(reps.select("id", "n", "bands", "sketch"), "reps")
-    size = reps.select("id", "n", "sketch")
+    reps = scratch.save(reps.select("id", "n", "bands", "sketch", "parity"), "reps")
+    size = reps.select("id", "n", "sketch", "parity")
 
     keys = reps.select(F.col("id").alias("rep"), F.explode("bands").alias("key"))
     first = scratch.save(keys.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("m")).filter("m > 1").select("key", "first"), "first")
@@ -174,16 +220,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = members.join(root.select(F.col("v").alias("rep"), F.col("root").alias("c")), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
     named = named.join(root.select(F.col("v").alias("first"), F.col("root").alias("cf")), "first", "left").withColumn("cf", F.coalesce("cf", "first"))
     named = scratch.save(named.select("key", "rep", "c", "cf"), "named")
-    apart = named.filter("c <> cf")
-    open_keys = scratch.save(apart.select("key").distinct(), "open")
-    info = size.select(F.col("id").alias("rep"), "n", "sketch")
-    side = named.join(open_keys, "key", "left_semi").join(info, "rep")
-    x = apart.join(info, "rep").select("key", F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
-    y = side.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"), F.col("cf").alias("cfb"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-    on = (x["key"] == y["key"]) & (x["ca"] != y["cb"]) & ((y["cb"] == y["cfb"]) | (x["a"] < y["b"])) & (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")) & (_differing("ka", "kb") <= MAX_BITS)
-    more = x.join(y, on).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = scratch.save(more.join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
+    apart = scratch.save(named.filter("c <> cf").select("key").distinct(), "open-keys")
+    unsure = scratch.save(named.join(apart, "key", "left_semi").select("rep", "c").distinct(), "unsure")
+    if not unsure.isEmpty():
+        more = scratch.save(_rarest(docs, unsure, size, scratch, percent), "more")
+        more = scratch.save(more.join(pairs, ["a", "b"], "left_anti"), "untested")
         links = links.union(confirmed(more))
         root = components(links, scratch)
 
