@@ -1,13 +1,48 @@
-"""Corpus pipeline: the stages are applied in order, each to the rows that the one before kept."""
+"""Corpus pipeline: the stages are applied in order, each to the rows that the one before kept.
+
+Quality drops poor and toxic documents; line dedup cuts later repeats of runs of 50 or more words, and drops
+documents of which nothing is left; near-duplicate removal keeps the smallest id of each group; decontamination
+drops documents that hold a window of a benchmark item; the last stage encodes what is left, with byte spans.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recolith.llm.op1_query import op1_sentencepiece  # noqa: F401
-from recolith.llm.runtime import Scratch
+from recolith.llm import op1_sentencepiece, op2_lines, op5_quality, op8_minhash, op10_winnow
+from recolith.llm.runtime import Scratch, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op5_quality.clean(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op2_lines.dedup(docs, drop_emptied=True)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    gone = op8_minhash.near_duplicates(docs).filter("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    hit = op10_winnow.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id")
+    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op1_sentencepiece.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
 
 #: The classifier and SentencePiece have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -15,7 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
