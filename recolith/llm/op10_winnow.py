@@ -10,7 +10,7 @@ pass leave the scan, each with the words around it. They are joined to the items
 both ways over equal words, and counts if at least WINDOW words agree. Overlapping hits of a document are merged.
 
 Defined results: null and empty texts have no words and no hits, in documents and items. Items without words
-have no window. Repeated ids are grouped as one document (words of the largest row); ties and copies need
+have no window. Rows without an id are left out; repeated ids are grouped as one document (words of the largest row); ties and copies need
 nothing special. Only id and text columns are read. An empty table on either side gives empty or clean results.
 """
 
@@ -167,10 +167,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    them = scratch.save(_fingerprints(items.select(F.col(item_col).cast("bigint"), F.col(item_text).cast("string")), None, None).filter("hash is not null"), "items")
+    them = scratch.save(_fingerprints(items.select(F.col(item_col).cast("bigint"), F.col(item_text).cast("string")).filter(F.col(item_col).isNotNull()), None, None).filter("hash is not null"), "items")
     lengths = sorted(-r.pos for r in them.filter("pos < 0").select("pos").distinct().collect())  # 1 to 9 at most
     bitmap = spark.sparkContext.broadcast(_bitmap(them.select("hash")))
-    us = scratch.save(_fingerprints(docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")), lengths, bitmap), "docs")
+    us = scratch.save(_fingerprints(docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).filter(F.col(id_col).isNotNull()), lengths, bitmap), "docs")
 
     right = them.select("hash", F.col("id").alias("item"), F.col("pos").alias("ipos"), F.col("around").alias("iaround"))
     hits = _extend(us.filter("hash is not null").select("hash", "id", "pos", "around").join(right, "hash"))

@@ -71,8 +71,9 @@ def deleted_lines(docs: DataFrame, scratch: Scratch, min_words: int) -> DataFram
     return merged.groupBy(_ID).agg(F.collect_list(F.struct("lo", "hi")).alias(_GONE))
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
-    """The rows of ``df`` with later repeated runs cut from their texts; counts adds n_lines and n_deleted."""
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, counts: bool = False, drop_emptied: bool = False) -> DataFrame:
+    """The rows of ``df`` with later repeated runs cut from their texts; counts adds n_lines and n_deleted;
+    drop_emptied leaves out rows that lose every line that holds words."""
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.col(id_col).alias(_ID), F.col(text_col).cast("string").alias(_TEXT))
     gone = scratch.save(deleted_lines(docs, scratch, min_words), "gone")
@@ -82,6 +83,8 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
     kept = F.filter(lines, lambda x: ~F.exists(hit, lambda r: (r["lo"] <= x["k"]) & (x["k"] <= r["hi"])))
     text = F.when(F.col(_GONE).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
     columns = [text.alias(c) if c == text_col else df[c] for c in df.columns]
+    if drop_emptied:
+        joined = joined.filter(F.col(_GONE).isNull() | F.exists(kept, lambda x: F.length(F.regexp_replace(x["line"], r"[ \t\r\x0B\f]+", "")) > 0))
     if not counts:
         return joined.select(*columns)
     total = F.when(F.col(text_col).isNull() | (F.col(text_col) == ""), 0).otherwise(F.size(lines))

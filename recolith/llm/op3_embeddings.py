@@ -9,7 +9,7 @@ only its number of links and a spanning forest of them leave the task, never the
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, vectors of another length
 than most of the sample, and rows without a label link with nothing: n_links 0, component_id the own id. Ids are
-unique. Only the id, vector and label columns are read. An empty table gives an empty result.
+unique, rows without an id are left out. Only the id, vector and label columns are read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -97,7 +97,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     """One row per vector: id, n_links, component_id, kept."""
     spark = df.sparkSession
     scratch = Scratch(spark)
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("v"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("v")).filter("id is not null")
     lengths = rows.filter("label is not null and v is not null").groupBy(F.size("v").alias("d")).count()
     usual = lengths.orderBy(F.desc("count"), "d").first()
     width = usual.d if usual else 0

@@ -11,8 +11,8 @@ the same ids four times as fast; texts of characters on which the two regex engi
 COMPARED), or that hold the string of a special token, go to the tokenizers library itself.
 
 Defined results: a null or empty text has the end id only. Ids of documents are unique integers; rows that
-repeat an id keep an arbitrary but consistent order. Only the id and text columns are read, so other columns of
-any name do no harm. An empty table gives an empty file set and no rows. A document is never split over shards.
+repeat an id keep an arbitrary but consistent order. Rows without an id are left out. Only the id and
+text columns are read, so other columns of any name do no harm. An empty table gives an empty file set and no rows. A document is never split over shards.
 """
 
 from __future__ import annotations
@@ -200,7 +200,7 @@ def write(df: DataFrame, path: str, json_path: str, ranks_path: str | None = Non
         if ids:
             yield flush()
 
-    rows = df.select(F.col(id_col).cast("bigint").alias("k"), F.col(text_col).cast("string").alias("t"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("k"), F.col(text_col).cast("string").alias("t")).filter("k is not null")
     ordered = rows.repartitionByRange("k").sortWithinPartitions("k").withColumn("p", F.spark_partition_id())
     ordered.mapInArrow(run, "part int, shard int, before bigint, n_tokens bigint, blob binary").write.option("parquet.block.size", 32 << 20).parquet(path)
 

@@ -209,13 +209,34 @@ def toxic_terms(docs: DataFrame, labels: DataFrame | None) -> Terms:
     return Terms(np.sort(np.array([r.w for r in best], np.int64).view(np.uint64)), sum(r.n for r in best) / max(1, whole.n))
 
 
-def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per text: id, votes, p_poor and p_toxic (by votes), poor_score and toxic_score (by the scorer), keep."""
+@dataclass(frozen=True)
+class Judge:
+    """What fitting gives: terms, posteriors by vote pattern, and the weights of the two scorers (1 MB each)."""
+
+    terms: Terms
+    posterior: list[dict]
+    weights: list[np.ndarray]
+
+    def of(self, counts: np.ndarray, h: np.ndarray, beginnings: np.ndarray) -> tuple:
+        """(votes, p_poor, p_toxic, poor_score, toxic_score, keep) of a text."""
+        votes = votes_of(counts, h, beginnings, self.terms)
+        q = len(QUALITY)
+        x, v = _features(h, votes)
+        p = [self.posterior[0].get(tuple(votes[:q]), 0.0), self.posterior[1].get(tuple(votes[q:]), 0.0)]
+        s = [float(1 / (1 + np.exp(-np.clip(w[x] @ v + w[-1], -30, 30)))) for w in self.weights]
+        return votes, *p, *s, len(h) == 0 or max(s) < 0.5
+
+
+def _inputs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> Judge:
+    """Labellers and scorers fitted to a table of texts."""
     scratch = Scratch(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = _inputs(df, id_col, text_col)
     terms = toxic_terms(docs, labels)
-    names = (*QUALITY, *TOXIC)
-    q = len(QUALITY)
+    q, total = len(QUALITY), len(QUALITY) + len(TOXIC)
 
     def vote(batches):
         for batch in batches:
@@ -230,7 +251,7 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
             sums[k][part] = sums[k].get(part, 0) + n
     posterior = [fit_labellers(sorted(s.items())) for s in sums]
 
-    picked = voted.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+    picked = voted.filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
     train = docs.join(F.broadcast(picked.dropDuplicates(["id"])), "id").select("id", "text", "votes")
 
     def features(batches):
@@ -239,28 +260,41 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
             xs = [_features(h, votes[r])[0].astype(np.int32) for r, _, h, _ in _texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(xs, pa.list_(pa.int32()))], ["id", "votes", "x"])
 
-    table = scratch.save(train.mapInArrow(features, "id bigint, votes array<tinyint>, x array<int>"), "sample").orderBy("id").toArrow()
+    sample = scratch.save(train.mapInArrow(features, "id bigint, votes array<tinyint>, x array<int>"), "sample")
+    table = sample.orderBy("id").toArrow()
     votes = table.column("votes").to_pylist()
     rows = []
     for x in table.column("x").combine_chunks():
         at = x.values.to_numpy()
-        rows.append((at, np.where(at < 64, 1.0, 1 / np.sqrt(max(1, len(at) - len(names))))))
+        rows.append((at, np.where(at < 64, 1.0, 1 / np.sqrt(max(1, len(at) - total)))))
     weights = [fit_scorer(rows, np.array([posterior[k][tuple(v[:q] if k == 0 else v[q:])] for v in votes])) for k in (0, 1)]
-    shared = df.sparkSession.sparkContext.broadcast([w.astype(np.float32) for w in weights])  # 1 MB each
+    return Judge(terms, posterior, [w.astype(np.float32) for w in weights])
+
+
+def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per text: id, votes, p_poor and p_toxic (by votes), poor_score and toxic_score (by the scorer), keep."""
+    shared = df.sparkSession.sparkContext.broadcast(fit(df, labels, id_col, text_col))
+    names = ["votes", "p_poor", "p_toxic", "poor_score", "toxic_score", "keep"]
+    kinds = [pa.list_(pa.int8()), *[pa.float64()] * 4, pa.bool_()]
 
     def score(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for _, counts, h, starts in _texts(batch):
-                votes = votes_of(counts, h, starts, terms)
-                x, v = _features(h, votes)
-                s = [float(1 / (1 + np.exp(-np.clip(w[x] @ v + w[-1], -30, 30)))) for w in shared.value]
-                p = [posterior[0].get(tuple(votes[:q]), 0.0), posterior[1].get(tuple(votes[q:]), 0.0)]
-                for k, value in enumerate((votes, *p, *s, len(h) == 0 or max(s) < 0.5)):
-                    out[k].append(value)
-            kinds = [pa.list_(pa.int8()), *[pa.float64()] * 4, pa.bool_()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, t) for x, t in zip(out, kinds, strict=True)]], ["id", "votes", "p_poor", "p_toxic", "poor_score", "toxic_score", "keep"])
-
-    done = docs.mapInArrow(score, "id bigint, votes array<tinyint>, p_poor double, p_toxic double, poor_score double, toxic_score double, keep boolean")
-    return done.withColumnRenamed("id", id_col)
+            rows = [shared.value.of(*x) for _, *x in _texts(batch)]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", *names])
+
+    schema = "id bigint, votes array<tinyint>, p_poor double, p_toxic double, poor_score double, toxic_score double, keep boolean"
+    return _inputs(df, id_col, text_col).mapInArrow(score, schema).withColumnRenamed("id", id_col)
+
+
+def clean(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, with all their columns, whose texts are kept."""
+    shared = df.sparkSession.sparkContext.broadcast(fit(df, labels, id_col, text_col))
+    at = df.columns.index(text_col)
+
+    def sift(batches):
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays([batch.column(at), batch.column(at).cast(pa.string())], ["id", "text"])
+            yield batch.filter(pa.array([shared.value.of(*x)[-1] for _, *x in _texts(pair)], pa.bool_()))
 
+    return df.mapInArrow(sift, df.schema)

@@ -11,7 +11,7 @@ Law ``bytes``: size is the UTF-8 length of the text (null: 0) plus 1, and the sh
 by at most a row or TOLERANCE of the mean, whichever is larger. grown_shard is null, as this law does not fix it.
 
 Defined results: null texts sort with the empty text's hash or apart from it, by the same rule every time; ids
-are unique, and rows that repeat an id and text take successive slots. Only id and text columns are read; an
+are unique; rows that repeat an id and text take successive slots, rows without an id come first among equal texts. Only id and text columns are read; an
 empty table gives an empty result; with fewer rows than shards some shards are empty.
 """
 
@@ -117,7 +117,7 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     scratch = Scratch(df.sparkSession)
     text = F.col(text_col).cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), size.alias("size"), F.xxhash64(text).alias("h"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("own"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("id"), text.alias("text"), size.alias("size"), F.xxhash64(text).alias("h"))
     keys = scratch.save(rows.select("h", "id", "size"), "keys")
     sums = keys.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, n = sums.b or 0, sums.n
@@ -146,4 +146,4 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     facts = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(b - a).cast("bigint").alias("before")) for s, a, b in zip(of_shard, base, below, strict=True)])
     slot = F.row_number().over(Window.partitionBy("piece").orderBy("h", "id")) - 1
     where = placed.withColumn("n", slot).withColumn("f", F.get(facts, F.col("piece")))
-    return where.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "size", F.col("f.shard").alias("shard"), (F.col("f.before") + F.col("n")).alias("slot"))
+    return where.select(F.col("own").alias(id_col), F.col("text").alias(text_col), "size", F.col("f.shard").alias("shard"), (F.col("f.before") + F.col("n")).alias("slot"))
