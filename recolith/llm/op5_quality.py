@@ -38,6 +38,9 @@ MAX_TERMS = 200
 PREFIX = 6
 FEATURES = 1 << 18
 EPOCHS = 60
+#: Rows of the sample that a gradient is summed over at once, and features kept for votes.
+STEP_ROWS = 1000
+VOTE_FEATURES = 64
 
 #: Insults, and frequent function words of four languages.
 INSULTS = "idiot idiots moron morons scum loser losers clown imbecile bastard bastards asshole bitch dumbass scumbag cretin jackass".split()
@@ -128,15 +131,21 @@ def _texts(batch: pa.RecordBatch):
             yield r, np.bincount(data, minlength=256), own[0], own[1]
 
 
-def _features(h: np.ndarray, votes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed features, values): words, scaled by their number, and one feature for each vote."""
-    words = np.unique((h % np.uint64(FEATURES - 64)).astype(np.int64)) + 64
-    own = np.array([3 * k + v + 1 for k, v in enumerate(votes)], np.int64)
-    return np.concatenate([own, words]), np.concatenate([np.ones(len(own)), np.full(len(words), 1 / np.sqrt(max(1, len(words))))])
+def _word_value(features: int) -> float:
+    """Value of a word's feature in a text of so many features; a vote's is 1."""
+    return 1 / np.sqrt(max(1, features - len(QUALITY) - len(TOXIC)))
+
+
+def _features(h: np.ndarray, votes: list[int]) -> np.ndarray:
+    """Features of a text: one for each vote, then its distinct words, hashed."""
+    words = np.unique((h % np.uint64(FEATURES - VOTE_FEATURES)).astype(np.int32)) + VOTE_FEATURES
+    return np.concatenate([np.array([3 * k + v + 1 for k, v in enumerate(votes)], np.int32), words.astype(np.int32)])
 
 
 #: Pseudo-counts of yes and no votes in class 0 and 1: labellers are made to be rarely wrong when they say yes.
 PRIOR = np.array([[0.2, 100.0], [2.0, 3.0]])
+#: Largest share of class 0 in which a labeller is taken to say yes.
+MAX_FALSE = 0.01
 
 
 def fit_labellers(patterns: list[tuple[tuple[int, ...], int]], prior: float = 0.1, rounds: int = 50) -> dict[tuple[int, ...], float]:
@@ -154,28 +163,29 @@ def fit_labellers(patterns: list[tuple[tuple[int, ...], int]], prior: float = 0.
         prior = float(np.clip((n @ post + 1) / (n.sum() + 10), 1e-4, 0.5))
         for c, w in enumerate((n * (1 - post), n * post)):
             said, against = w @ yes + PRIOR[c, 0], w @ no + PRIOR[c, 1]
-            rate[c] = np.clip(said / (said + against), 1e-6, 1 - 1e-6)
+            rate[c] = np.clip(said / (said + against), 1e-6, (MAX_FALSE, 1 - 1e-6)[c])
     return {tuple(v.tolist()): float(p) for v, p in zip(votes, post, strict=True)}
 
 
-def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], want: np.ndarray) -> np.ndarray:
+def fit_scorer(rows: list[np.ndarray], want: np.ndarray) -> np.ndarray:
     """Weights of a logistic scorer over hashed features, by full-batch gradient with per-feature steps; the last
     weight is the bias. Rows of both classes weigh the same in sum."""
     w = np.zeros(FEATURES + 1)
-    if not rows:
-        return w
-    at = np.concatenate([[0], np.cumsum([len(x) for x, _ in rows])])
-    cols, vals = np.concatenate([x for x, _ in rows]), np.concatenate([v for _, v in rows])
-    row = np.repeat(np.arange(len(rows)), np.diff(at))
     pos = max(want.sum(), 1e-6)
     weight = np.where(want > 0.5, 0.5 / pos, 0.5 / max((1 - want).sum(), 1e-6))
     seen = np.full(FEATURES + 1, 1e-8)
-    for _ in range(EPOCHS):
-        score = np.bincount(row, weights=w[cols] * vals, minlength=len(rows)) + w[-1]
-        error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - want) * weight
-        grad = np.bincount(cols, weights=error[row] * vals, minlength=FEATURES + 1)
-        grad[-1] = error.sum()
-        grad += 1e-6 * w
+    for _ in range(EPOCHS if rows else 0):
+        grad = 1e-6 * w
+        for lo in range(0, len(rows), STEP_ROWS):
+            part = rows[lo : lo + STEP_ROWS]
+            cols = np.concatenate(part)
+            row = np.repeat(np.arange(len(part)), [len(x) for x in part])
+            vals = np.repeat([_word_value(len(x)) for x in part], [len(x) for x in part])
+            vals[cols < VOTE_FEATURES] = 1
+            score = np.bincount(row, weights=w[cols] * vals, minlength=len(part)) + w[-1]
+            error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - want[lo : lo + STEP_ROWS]) * weight[lo : lo + STEP_ROWS]
+            grad += np.bincount(cols, weights=error[row] * vals, minlength=FEATURES + 1)
+            grad[-1] += error.sum()
         seen += grad * grad
         w -= 0.3 * grad / np.sqrt(seen)
     return w
@@ -221,7 +231,9 @@ class Judge:
         """(votes, p_poor, p_toxic, poor_score, toxic_score, keep) of a text."""
         votes = votes_of(counts, h, beginnings, self.terms)
         q = len(QUALITY)
-        x, v = _features(h, votes)
+        x = _features(h, votes)
+        v = np.full(len(x), _word_value(len(x)))
+        v[: len(votes)] = 1
         p = [self.posterior[0].get(tuple(votes[:q]), 0.0), self.posterior[1].get(tuple(votes[q:]), 0.0)]
         s = [float(1 / (1 + np.exp(-np.clip(w[x] @ v + w[-1], -30, 30)))) for w in self.weights]
         return votes, *p, *s, len(h) == 0 or max(s) < 0.5
@@ -236,7 +248,7 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
     scratch = Scratch(df.sparkSession)
     docs = _inputs(df, id_col, text_col)
     terms = toxic_terms(docs, labels)
-    q, total = len(QUALITY), len(QUALITY) + len(TOXIC)
+    q = len(QUALITY)
 
     def vote(batches):
         for batch in batches:
@@ -257,17 +269,15 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
     def features(batches):
         for batch in batches:
             votes = batch.column(2).to_pylist()
-            xs = [_features(h, votes[r])[0].astype(np.int32) for r, _, h, _ in _texts(batch)]
+            xs = [_features(h, votes[r]) for r, _, h, _ in _texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(xs, pa.list_(pa.int32()))], ["id", "votes", "x"])
 
     sample = scratch.save(train.mapInArrow(features, "id bigint, votes array<tinyint>, x array<int>"), "sample")
     table = sample.orderBy("id").toArrow()
     votes = table.column("votes").to_pylist()
-    rows = []
-    for x in table.column("x").combine_chunks():
-        at = x.values.to_numpy()
-        rows.append((at, np.where(at < 64, 1.0, 1 / np.sqrt(max(1, len(at) - total)))))
+    rows = [x.values.to_numpy() for x in table.column("x").combine_chunks()]
     weights = [fit_scorer(rows, np.array([posterior[k][tuple(v[:q] if k == 0 else v[q:])] for v in votes])) for k in (0, 1)]
+    scratch.clear()
     return Judge(terms, posterior, [w.astype(np.float32) for w in weights])
 
 
