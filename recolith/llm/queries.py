@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from recolith.llm.op10_query import SQL as OP10_SQL
 from recolith.llm.op10_query import op10_winnowing
 from recolith.llm.op1_query import op1_sentencepiece
+from recolith.llm.op2_query import SQL as OP2_SQL
 from recolith.llm.op2_query import op2_line_dedup
 from recolith.llm.op3_query import SQL as OP3_SQL
 from recolith.llm.op3_query import op3_embedding_dedup
@@ -12,6 +14,7 @@ from recolith.llm.op5_query import op5_weak_labels
 from recolith.llm.op6_query import op6_histogram_sort
 from recolith.llm.op7_query import SQL as OP7_SQL
 from recolith.llm.op7_query import op7_stupid_backoff
+from recolith.llm.op8_query import SQL as OP8_SQL
 from recolith.llm.op8_query import op8_minhash_odd_sketch
 from recolith.llm.op9_query import op9_pii
 
@@ -29,6 +32,9 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
     "op3_embedding_dedup": OP3_SQL,
     "op7_stupid_backoff": OP7_SQL,
+    "op8_minhash_odd_sketch": OP8_SQL,
+    "op10_winnowing": OP10_SQL,
 }
