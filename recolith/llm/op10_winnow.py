@@ -186,6 +186,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     every = us.filter("hash is null").groupBy("id").agg(F.max("n_words").alias("n_words"))
     out = every.join(marked, "id", "left")
     nothing = F.sha2(F.lit("").cast("binary"), 256)
-    return out.select(
+    done = out.select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items", nothing).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated")
     )
+    return scratch.last(done)

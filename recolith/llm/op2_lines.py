@@ -76,7 +76,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
     drop_emptied leaves out rows that lose every line that holds words."""
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.col(id_col).alias(_ID), F.col(text_col).cast("string").alias(_TEXT))
-    gone = scratch.save(deleted_lines(docs, scratch, min_words), "gone")
+    gone = scratch.last(deleted_lines(docs, scratch, min_words), "gone")
     joined = df.join(gone, df[id_col].eqNullSafe(gone[_ID]), "left")
     lines = F.transform(_lines(F.col(text_col).cast("string")), lambda line, k: F.struct(line.alias("line"), k.alias("k")))
     hit = F.coalesce(F.col(_GONE), F.array().cast("array<struct<lo:int,hi:int>>"))

@@ -16,7 +16,7 @@ document's own, and summed per document. A frequent n-gram is one entry per chun
 occurrences, and the number of buckets follows the number of entries, so no group grows with the corpus.
 
 Defined results: null and empty texts have no words and score 0. Ids are unique; rows that repeat an id count as
-documents of their own. With a single document all words are unseen. Only id and text columns are read. An empty
+documents of their own, rows without an id are left out. With a single document all words are unseen. Only id and text columns are read. An empty
 table gives an empty result.
 """
 
@@ -32,7 +32,7 @@ from recolith.llm.text import MIX, SPACES, batches_of_words, mix64
 
 ORDER = 3
 BACKOFF = 0.4
-CHUNK_WORDS = 4_000_000
+CHUNK_WORDS = 2_000_000
 BUCKET_ENTRIES = 1_500_000
 
 
@@ -44,9 +44,12 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
         def flush():
             nonlocal ids, sizes, words, held, no
-            vocab, codes = np.unique(np.concatenate(words), return_inverse=True)
-            codes = codes.astype(np.uint16 if len(vocab) <= 1 << 16 else np.uint32)
-            row = [pa.array([f"{part}-{no}"]), pa.array([np.concatenate(ids)], pa.list_(pa.int64())), pa.array([np.concatenate(sizes)], pa.list_(pa.int64())), pa.array([vocab.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary())]
+            vocab, codes, counts = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+            order = np.argsort(-counts, kind="stable")  # frequent words get small numbers, whose high bytes are zero
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            planes = np.ascontiguousarray(rank[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T)
+            row = [pa.array([f"{part}-{no}"]), pa.array([np.concatenate(ids)], pa.list_(pa.int64())), pa.array([np.concatenate(sizes)], pa.list_(pa.int64())), pa.array([vocab[order].tobytes()], pa.binary()), pa.array([planes.tobytes()], pa.binary())]
             ids, sizes, words, held, no = [], [], [], 0, no + 1
             return pa.RecordBatch.from_arrays(row, ["chunk", "ids", "sizes", "vocab", "codes"])
 
@@ -68,30 +71,19 @@ def _chunks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "chunk string, ids array<bigint>, sizes array<bigint>, vocab binary, codes binary")
 
 
-def _grams(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """(sorted distinct n-gram hashes, counts, places by order, documents): places[n - 1][i] is the number of the
-    n-gram that ends at word i, or -1 where the document is too short."""
+def _grams(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct hashes of n-grams, counts, places): places[i] is the number of the n-gram that ends at word
+    i, or -1 where the document is too short."""
     h = vocab[codes]
-    doc = np.repeat(np.arange(len(sizes)), sizes)
     first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    i = np.arange(len(h))
-    ends, hashes = [], []
-    for n in range(1, ORDER + 1):
-        at = np.flatnonzero(i - first >= n - 1)
-        own = np.uint64(n) * np.ones(len(at), np.uint64)
-        for k in range(n):
-            own = mix64(own * MIX[20] + h[at - (n - 1 - k)])
-        ends.append(at)
-        hashes.append(own)
-    every = np.concatenate(hashes)
-    distinct, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-    places, lo = [], 0
-    for at in ends:
-        p = np.full(len(h), -1, np.int64)
-        p[at] = inverse[lo : lo + len(at)]
-        places.append(p)
-        lo += len(at)
-    return distinct, counts, places, doc
+    at = np.flatnonzero(np.arange(len(h)) - first >= n - 1)
+    own = np.full(len(at), n, np.uint64)
+    for k in range(n):
+        own = mix64(own * MIX[20] + h[at - (n - 1 - k)])
+    distinct, inverse, counts = np.unique(own, return_inverse=True, return_counts=True)
+    places = np.full(len(h), -1, np.int64)
+    places[at] = inverse
+    return distinct, counts, places
 
 
 def _cuts(distinct: np.ndarray, buckets: int) -> np.ndarray:
@@ -101,20 +93,18 @@ def _cuts(distinct: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _pack(sorted_hashes: np.ndarray) -> bytes:
-    """First value and differences in six bytes each, or all values in eight if a difference is too large."""
+    """Bytes of a difference, first value, then differences in so many bytes each."""
     gaps = np.diff(sorted_hashes)
-    if len(gaps) and int(gaps.max()) >= 1 << 48:
-        return b"\1" + sorted_hashes.astype("<u8").tobytes()
-    return b"\0" + sorted_hashes[:1].astype("<u8").tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
+    return bytes([width]) + sorted_hashes[:1].astype("<u8").tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    if blob[0]:
-        return np.frombuffer(blob, "<u8", offset=1)
     if len(blob) == 1:
         return np.zeros(0, np.uint64)
-    gaps = np.zeros(((len(blob) - 9) // 6, 8), np.uint8)
-    gaps[:, :6] = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, 6)
+    width = blob[0]
+    gaps = np.zeros(((len(blob) - 9) // width, 8), np.uint8)
+    gaps[:, :width] = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
     return np.cumsum(np.concatenate([np.frombuffer(blob, "<u8", 1, 1), gaps.view("<u8").ravel()]), dtype=np.uint64)
 
 
@@ -123,8 +113,21 @@ def _row(table, names) -> tuple:
 
 
 def _read(vocab: bytes, codes: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    v = np.frombuffer(vocab, np.uint64)
-    return v, np.frombuffer(codes, np.uint16 if len(v) <= 1 << 16 else np.uint32), np.array(sizes, np.int64)
+    planes = np.frombuffer(codes, np.uint8).reshape(4, -1)
+    return np.frombuffer(vocab, np.uint64), np.ascontiguousarray(planes.T).view("<u4").ravel(), np.array(sizes, np.int64)
+
+
+def _pack_counts(x: np.ndarray) -> bytes:
+    """A byte for each count; those over 254 follow with their places."""
+    big = np.flatnonzero(x >= 255)
+    return len(big).to_bytes(8, "little") + big.astype("<i8").tobytes() + x[big].astype("<i8").tobytes() + np.minimum(x, 255).astype(np.uint8).tobytes()
+
+
+def _unpack_counts(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    out = np.frombuffer(blob, np.uint8, offset=8 + 16 * n).astype(np.int64)
+    out[np.frombuffer(blob, "<i8", n, 8)] = np.frombuffer(blob, "<i8", n, 8 + 8 * n)
+    return out
 
 
 def _own_counts(place: np.ndarray, doc: np.ndarray, distinct: int) -> np.ndarray:
@@ -136,24 +139,31 @@ def _own_counts(place: np.ndarray, doc: np.ndarray, distinct: int) -> np.ndarray
     return out
 
 
-def score_chunk(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, totals: np.ndarray, n_words: int) -> np.ndarray:
-    """Score of each document of a chunk, from the corpus totals of the chunk's distinct n-grams."""
-    distinct, _, places, doc = _grams(vocab, codes, sizes)
-    others = [np.where(p >= 0, totals[p], 0) - _own_counts(p, doc, max(1, len(distinct))) if len(p) else p for p in places]
+def score_chunk(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, totals: list[np.ndarray], n_words: int) -> np.ndarray:
+    """Score of each document of a chunk, from the corpus totals of the chunk's distinct n-grams, by order."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
     left = (n_words - sizes)[doc].astype(float) if len(doc) else np.zeros(0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s = np.where(others[0] > 0, others[0] / left, 1 / (2 * (left + 1)))
-        for n in range(1, ORDER):
-            context = np.zeros_like(others[n])
-            context[1:] = others[n - 1][:-1]
-            s = np.where(places[n] < 0, s, np.where(others[n] > 0, others[n] / context, BACKOFF * s))
+    shorter = s = None
+    for n in range(1, ORDER + 1):
+        distinct, _, places = _grams(vocab, codes, sizes, n)
+        others = -_own_counts(places, doc, max(1, len(distinct)))
+        there = places >= 0
+        others[there] += totals[n - 1][places[there]]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            if n == 1:
+                s = np.where(others > 0, others / left, 1 / (2 * (left + 1)))
+            else:
+                context = np.zeros_like(others)
+                context[1:] = shorter[:-1]
+                s = np.where(there, np.where(others > 0, others / context, BACKOFF * s), s)
+        shorter = others
     return np.bincount(doc, weights=np.log(s), minlength=len(sizes))
 
 
 def backoff_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, log_score."""
     scratch = Scratch(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     chunks = scratch.save(_chunks(docs), "chunks")
     n_words = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(8, min(1 << 20, -(-n_words * 2 // BUCKET_ENTRIES)))
@@ -162,35 +172,35 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             for r in range(batch.num_rows):
                 chunk, vocab, codes, sizes = _row(batch.slice(r, 1), ("chunk", "vocab", "codes", "sizes"))
-                distinct, counts, _, _ = _grams(*_read(vocab, codes, sizes))
-                cut = _cuts(distinct, buckets)
-                for b in np.flatnonzero(np.diff(cut)):
-                    lo, hi = cut[b], cut[b + 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([b], pa.int32()), pa.array([chunk]), pa.array([_pack(distinct[lo:hi])], pa.binary()), pa.array([counts[lo:hi].astype("<u4").tobytes()], pa.binary())],
-                        ["bucket", "chunk", "grams", "counts"],
-                    )
+                for n in range(1, ORDER + 1):
+                    distinct, counts, _ = _grams(*_read(vocab, codes, sizes), n)
+                    cut = _cuts(distinct, buckets)
+                    for b in np.flatnonzero(np.diff(cut)):
+                        lo, hi = cut[b], cut[b + 1]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([b], pa.int32()), pa.array([chunk]), pa.array([n], pa.int32()), pa.array([_pack(distinct[lo:hi])], pa.binary()), pa.array([_pack_counts(counts[lo:hi])], pa.binary())],
+                            ["bucket", "chunk", "n", "grams", "counts"],
+                        )
 
     def total(table: pa.Table) -> pa.Table:
         grams = [_unpack(x) for x in table.column("grams").to_pylist()]
-        counts = [np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]
+        counts = [_unpack_counts(x) for x in table.column("counts").to_pylist()]
         distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct)).astype("<i8")[inverse]
+        sums = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)[inverse]
         cut = np.cumsum([len(g) for g in grams])[:-1]
-        blobs = [x.astype("<u4").tobytes() if x.max() < 1 << 32 else b"\0" + x.tobytes() for x in np.split(sums, cut)]
-        return pa.table([table.column("bucket"), table.column("chunk"), pa.array(blobs, pa.binary())], ["bucket", "chunk", "totals"])
+        blobs = [_pack_counts(x) for x in np.split(sums, cut)]
+        return pa.table([table.column("bucket"), table.column("chunk"), table.column("n"), pa.array(blobs, pa.binary())], ["bucket", "chunk", "n", "totals"])
 
-    sent = chunks.select("chunk", "vocab", "codes", "sizes").mapInArrow(send, "bucket int, chunk string, grams binary, counts binary")
-    totals = sent.groupBy("bucket").applyInArrow(total, "bucket int, chunk string, totals binary")
+    sent = chunks.select("chunk", "vocab", "codes", "sizes").mapInArrow(send, "bucket int, chunk string, n int, grams binary, counts binary")
+    totals = sent.groupBy("bucket").applyInArrow(total, "bucket int, chunk string, n int, totals binary")
     totals = scratch.save(totals, "totals")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, vocab, codes, sizes = _row(left, ("ids", "vocab", "codes", "sizes"))
-        parts = sorted(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))
-        sums = [np.frombuffer(x, "<u4") if len(x) % 4 == 0 else np.frombuffer(x, "<i8", offset=1) for _, x in parts]
-        all_sums = np.concatenate(sums).astype(np.int64) if sums else np.zeros(0, np.int64)
-        own = _read(vocab, codes, sizes)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(score_chunk(*own, all_sums, n_words))], ["id", "n_words", "log_score"])
+        parts = sorted(zip(right.column("n").to_pylist(), right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))
+        sums = [np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(x) for m, _, x in parts if m == n)]) for n in range(1, ORDER + 1)]
+        scores = score_chunk(*_read(vocab, codes, sizes), sums, n_words)
+        return pa.table([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(scores)], ["id", "n_words", "log_score"])
 
     scored = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(score, "id bigint, n_words bigint, log_score double")
-    return scored.withColumnRenamed("id", id_col)
+    return scratch.last(scored.withColumnRenamed("id", id_col))

@@ -210,7 +210,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         sets = scratch.save(_sets(docs.join(scratch.save(wanted, "wanted"), "id", "left_semi")).dropDuplicates(["id"]), "sets")
         left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
         done = scratch.save(_confirm(left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"), percent), "links")
-        scratch.drop(sets)
         return done
 
     pairs = scratch.save(possible(members.filter("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()), "pairs")
@@ -232,4 +231,4 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cls = scratch.save(cls, "class-roots")
     out = rows.select("id", "n", "s1", "s2").join(cls, ["s1", "s2"], "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return scratch.last(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept")))

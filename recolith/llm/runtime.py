@@ -10,6 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Setting by which shuffle files go at the end of the execution that made them.
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a private one only where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -27,23 +31,42 @@ class Scratch:
         self.spark = spark
         self.root = f"{scratch_base(spark)}/recolith-{uuid.uuid4().hex}"
         self.n = 0
+        self.paths: list[str] = []
 
     def path(self, name: str) -> str:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
+        """Writes a table and reads it again; the shuffle files behind it go when it is written."""
         path = self.path(name)
-        df.write.parquet(path)
+        before = self.spark.conf.get(FREE, None)
+        self.spark.conf.set(FREE, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(FREE) if before is None else self.spark.conf.set(FREE, before)
+        self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *tables: DataFrame) -> None:
-        """Deletes tables that nothing needs any more."""
+    def last(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Saves a result and deletes every table before it."""
+        old, self.paths = self.paths, []
+        out = self.save(df, name)
+        self._delete(old)
+        return out
+
+    def clear(self, keep: int = 0) -> None:
+        """Deletes all tables but the last so many."""
+        at = len(self.paths) - keep
+        self._delete(self.paths[:at])
+        self.paths = self.paths[at:]
+
+    def _delete(self, paths: list[str]) -> None:
         sc = self.spark.sparkContext
-        for df in tables:
-            for file in df.inputFiles()[:1]:
-                where = sc._jvm.org.apache.hadoop.fs.Path(file).getParent()
-                where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+        for p in paths:
+            where = sc._jvm.org.apache.hadoop.fs.Path(p)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
