@@ -21,6 +21,7 @@ import base64
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -111,31 +112,38 @@ class Wavelet:
 
     def tokens(self) -> np.ndarray:
         """All tokens in order, by undoing the planes from the lowest up."""
-        out = np.zeros(self.n, np.uint32)
+        kind = _kind(self.width)
+        out = np.zeros(self.n, kind)
         for level in reversed(range(self.width)):
-            ones = np.unpackbits(self.planes[level], count=self.n).astype(bool)
+            ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             z = self.zeros(level)
+            out[z:] |= kind(1 << (self.width - 1 - level))
             above = np.empty_like(out)
-            above[~ones] = out[:z]
-            above[ones] = out[z:] | np.uint32(1 << (self.width - 1 - level))
+            np.place(above, ~ones, out[:z])
+            np.place(above, ones, out[z:])
             out = above
         return out
 
 
+def _kind(width: int) -> type:
+    return np.uint16 if width <= 16 else np.uint32
+
+
 def build(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, width: int) -> bytes:
     """The blob of a shard."""
     n = len(tokens)
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
     parts = [MAGIC, struct.pack("<QQI", n, len(doc_ids), width), np.asarray(doc_ids, "<i8").tobytes(), offsets.tobytes()]
-    now = tokens.astype(np.uint32)
+    kind = _kind(width)
+    now = tokens.astype(kind)
     padded = -(-n // BLOCK) * BLOCK
     for level in range(width):
-        ones = (now >> np.uint32(width - 1 - level) & np.uint32(1)).astype(bool)
+        ones = (now & kind(1 << (width - 1 - level))).astype(bool)
         plane = np.zeros(padded // 8, np.uint8)
         plane[: -(-n // 8)] = np.packbits(ones)
         per = np.bitwise_count(plane).reshape(-1, BLOCK // 8).sum(1, dtype=np.uint32)
         parts += [plane.tobytes(), np.concatenate([[0], np.cumsum(per)]).astype("<u4").tobytes()]
-        now = np.concatenate([now[~ones], now[ones]])
+        now = np.concatenate([np.compress(~ones, now), np.compress(ones, now)])
     return b"".join(parts)
 
 
@@ -154,13 +162,16 @@ class ByteBpe:
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        special = [re.escape(t.content) for t in self.full.get_added_tokens_decoder().values()]
-        self.other = re.compile("|".join([f"[^{COMPARED}]", *special])).search
+        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.uncompared = re.compile(f"[^{COMPARED}]").search
+
+    def other(self, text: str) -> bool:
+        """Whether a text needs the library itself."""
+        return any(s in text for s in self.special) or not text.isascii() and self.uncompared(text) is not None
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast is None or self.other(text):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text, disallowed_special=())
+        ids = self.full.encode(text, add_special_tokens=False).ids if self.fast is None or self.other(text) else self.fast.encode_ordinary(text)
+        return np.frombuffer(array("I", ids), np.uint32) if ids else np.zeros(0, np.uint32)
 
 
 _coders: dict[tuple, ByteBpe] = {}
@@ -191,7 +202,7 @@ def write(df: DataFrame, path: str, json_path: str, ranks_path: str | None = Non
                 some = batch.slice(lo, 256)
                 for k, text, p in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
                     part = p
-                    x = np.append(coder.encode(text or ""), np.uint32(end_id)).astype(np.uint16 if width <= 16 else np.uint32)
+                    x = np.append(coder.encode(text or ""), np.uint32(end_id)).astype(_kind(width))
                     if held and held + len(x) > shard_tokens:
                         yield flush()
                     ids.append(k)
