@@ -8,48 +8,23 @@ from pyspark.sql import functions as F
 from recolith.functions import similarity as sim
 from recolith.functions.cleaning import clean_records
 from recolith.operators import audit, blocking, evaluation, keys, pairs, sets, validation
-from recolith.plans import linkage, model, report
-from recolith.sources import records
+from recolith.__main__ import main
+from recolith.plans import benchmark, linkage, model, report
+from recolith.sources import fixtures, records
 from recolith.streaming.records import rank_stream
 
-S1 = """S1-00001|Amazon Web Services Inc.|410 Terry Ave N, Seattle, WA 98109|US
-S1-00002|Microsoft Corporation|One Microsoft Way, Redmond, WA 98052|US
-S1-00003|Alphabet Google LLC|1600 Amphitheatre Pkwy, Mountain View, CA 94043|US
-S1-00004|Starbucks Coffee Company|2401 Utah Ave S, Seattle, WA 98134|US
-S1-00005|Lone Star Lone Singleton LLC|123 Main St, Austin, TX 78701|US
-S1-00006|Tata Consultancy Services Ltd|TCS House, Raveline St, Fort, Mumbai, Maharashtra 400001|IN
-S1-00007|Infosys Technologies Limited|Electronics City, Hosur Road, Bengaluru, Karnataka 560100|IN
-S1-00008|Reliance Industries Private Limited|Maker Chambers IV, Nariman Point, Mumbai 400021|IN
-S1-00009|HDFC Bank Ltd.|HDFC Bank House, Senapati Bapat Marg, Lower Parel, Mumbai 400013|IN
-S1-00010|Verma Sweets & Bakery Singleton|Opposite Bus Stand, Sector 14, Gurugram, Haryana 122001|IN"""
-TARGETS = """S2-00001|AWS Corp|410 Terry Avenue North, Seattle WA 98109|US
-S2-00002|Microsoft Corp.|1 Microsoft Way, Redmond WA 98052|US
-S2-00003|Google Inc|1600 Amphitheatre Parkway, Mountain View CA|US
-S2-00004|TCS Pvt Ltd|TCS House Raveline Street Fort Mumbai 400001|IN
-S2-00005|Infosys Ltd|Plot 44 Electronic City Hosur Rd Bangalore 560100|IN
-S2-00006|Reliance Ind|Maker Chambers 4 Nariman Pt Mumbai 400021|IN
-S2-00007|Unrelated Retail Shop|500 5th Ave New York NY 10036|US
-S2-00008|Sharma General Store|Near Metro Station Gurgaon 122002|IN
-S3-00001|Amazon Web Services|410 Terry Ave, Seattle, Washington|US
-S3-00002|Starbucks Corp|2401 Utah Avenue South, Suite 800, Seattle WA 98134|US
-S3-00003|HDFC Bank|Senapati Bapat Marg Lower Parel Mumbai 400013|IN
-S3-00004|Tata Consultancy Serv|Raveline St Mumbai 400001|IN
-S3-00005|Global Hardware Distributors|100 Industrial Pkwy Chicago IL 60601|US
-S3-00006|Delhi Book Emporium|Connaught Place New Delhi 110001|IN"""
-TRUTH = [("S1-00001", "S2-00001,S3-00001"), ("S1-00002", "S2-00002"), ("S1-00003", "S2-00003"), ("S1-00004", "S3-00002"), ("S1-00005", ""),
-         ("S1-00006", "S2-00004,S3-00004"), ("S1-00007", "S2-00005"), ("S1-00008", "S2-00006"), ("S1-00009", "S3-00003"), ("S1-00010", "")]
-
-
-def frame(spark, text):
-    rows = [tuple(line.split("|")) for line in text.splitlines()]
-    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "entity_id string, business_name string, business_address string, country string, load_seq bigint")
+def frame(spark, *names):
+    out = None
+    for name in names:
+        df = fixtures.sample(spark, name)
+        out = df if out is None else out.union(df)
+    return out.coalesce(1).withColumn("load_seq", F.monotonically_increasing_id())
 
 
 @pytest.fixture(scope="module")
 def data(spark):
-    refs, targets = clean_records(frame(spark, S1)), clean_records(frame(spark, TARGETS))
-    truth = spark.createDataFrame(TRUTH, "source1_entity_id string, matched_entity_ids string")
-    return refs, targets, truth
+    refs, targets = clean_records(frame(spark, "train_source1")), clean_records(frame(spark, "train_source2", "train_source3"))
+    return refs, targets, fixtures.sample(spark, "train_ground_truth")
 
 
 def key_set(spark, core, address, country):
@@ -201,6 +176,32 @@ def test_audits(spark, data):
     assert audit.open_set_preserved(refs, spark.createDataFrame([("FR",)], "country string")).first()[0]
 
 
+def test_region_profile_of_the_samples(spark):
+    every = frame(spark, "train_source1", "train_source2", "train_source3", "test_source1", "test_source2", "test_source3")
+    r = audit.region_profile(every).first()
+    assert (r.france_records, r.france_accents, r.france_postal, r.france_street, r.france_legal) == (11, 6, 10, 11, 4)
+    assert (r.india_pin, r.india_landmark, r.us_zip) == (16, 4, 15)
+    test = frame(spark, "test_source1", "test_source2", "test_source3")
+    assert {tuple(x) for x in audit.country_counts(test).collect()} == {("FR", 11), ("US", 5), ("IN", 4)}
+
+
+def test_benchmark(spark, data):
+    refs, targets, truth = data
+    out = benchmark.run(refs, targets, truth)
+    assert out["recall"] >= 90 and out["reduction"] > 0.7
+
+
+def test_commands(spark, tmp_path, capsys):
+    folder = str(tmp_path)
+    assert main(["generate", folder]) == 0 and main(["audit", folder]) == 0
+    assert "Ids of source 3" in capsys.readouterr().out
+    assert main(["train", folder, "--trees", "3"]) == 0
+    assert main(["predict", folder, "--threshold", "0.1"]) == 0
+    text = (tmp_path / "matching_results.tsv").read_text()
+    assert text.count("\n") == 11 and text.startswith("source1_entity_id\tmatched_entity_ids\n")
+    assert main(["validate", folder, "--check-ids"]) == 0
+
+
 def lines(spark, *text):
     return spark.createDataFrame(list(enumerate(text, 1)), "line_no bigint, value string")
 
