@@ -10,6 +10,7 @@ from recolith.llm.runtime import table
 
 
 def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shard(table(spark, sf_dir, "documents"))
     crc = F.coalesce(F.crc32(F.encode("text", "UTF-8")), F.lit(0).cast("bigint"))
-    return out.select("doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", crc.alias("text_crc32"))
+    out = shard(docs, carry="text_crc32")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -22,7 +22,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recolith.llm.runtime import Scratch
@@ -30,8 +31,8 @@ from recolith.llm.runtime import Scratch
 SHARDS = 8
 PROBES = 4096
 TOLERANCE = 0.0005
-#: Rows in a piece of the exchange, and the most pieces.
-PIECE_ROWS, MAX_PIECES = 2_000_000, 4096
+#: Rows and bytes in a piece of the exchange, and the most pieces.
+PIECE_ROWS, PIECE_BYTES, MAX_PIECES = 2_000_000, 256 << 20, 1 << 17
 MIN_PIECES = 32
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
@@ -59,91 +60,110 @@ class Target:
     found: tuple[int, int] | None = None
 
 
-def _cell(i: Interval) -> Column:
-    """Number of the cell of interval i that a key falls in, or null outside."""
-    v = F.col("h") if i.at is None else F.col("id")
-    inside = (v >= F.lit(i.lo)) & (v <= F.lit(i.hi - 1))
-    if i.at is not None:
-        inside &= F.col("h") == F.lit(i.at)
-    # shifted to start at zero in decimal arithmetic, as the distance can exceed 63 bits
-    return F.when(inside, F.floor((v.cast("decimal(20,0)") - F.lit(i.lo).cast("decimal(20,0)")) / F.lit(i.step).cast("decimal(20,0)")).cast("bigint"))
+def _place(hs: np.ndarray, ids: np.ndarray, h: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """How many of the sorted keys (hs, ids) are at or below each key (h, i)."""
+    lo, hi = np.searchsorted(hs, h, "left"), np.searchsorted(hs, h, "right")
+    for first in np.unique(lo[lo < hi]):  # rows whose hash is that of some of the keys
+        some = np.flatnonzero((lo == first) & (hi > first))
+        lo[some] += np.searchsorted(ids[first : hi[some[0]]], i[some], "right")
+    return lo
+
+
+def _histogram(keys: DataFrame, intervals: list[Interval]) -> list:
+    """(k, cell, bytes, rows) over the cells of each interval; intervals are in key order and don't overlap."""
+    start = np.array([i.lo if i.at is None else i.at for i in intervals], np.int64), np.array([LOWEST if i.at is None else i.lo for i in intervals], np.int64)
+    lo = np.array([i.lo for i in intervals], np.int64)
+    last = np.array([i.hi - 1 for i in intervals], np.int64)
+    step = np.array([i.step for i in intervals], np.uint64)
+    by_id = np.array([i.at is not None for i in intervals])
+
+    def count(batches):
+        for batch in batches:
+            h, i, size = (batch.column(c).to_numpy() for c in ("h", "id", "size"))
+            k = _place(*start, h, i) - 1
+            v = np.where(by_id[k], i, h)
+            inside = (k >= 0) & (v <= last[k]) & (~by_id[k] | (h == start[0][k]))
+            k, v, size = k[inside], v[inside], size[inside]
+            cell = (v.view(np.uint64) - lo[k].view(np.uint64)) // step[k]
+            both, at = np.unique(k.astype(np.int64) * (PROBES + 1) + cell.astype(np.int64), return_inverse=True)
+            sums = np.zeros(len(both), np.int64)
+            np.add.at(sums, at, size)
+            yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(sums), pa.array(np.bincount(at, minlength=len(both)))], ["c", "b", "n"])
+
+    cells = keys.select("h", "id", "size").mapInArrow(count, "c bigint, b bigint, n bigint")
+    rows = cells.groupBy("c").agg(F.sum("b").alias("b"), F.sum("n").alias("n")).collect()  # at most PROBES for each interval
+    return [(r.c // (PROBES + 1), r.c % (PROBES + 1), r.b, r.n) for r in sorted(rows)]
 
 
 def splitters(keys: DataFrame, targets: list[Target]) -> list[tuple[tuple[int, int], dict]]:
     """For each target a key (hash, id) such that about ``want`` of the measure lies below it, with exact counts below."""
     while open_ := [t for t in targets if t.found is None]:
-        intervals = sorted({t.interval for t in open_}, key=lambda i: (i.at is None, i.lo))
-        cells = F.array(*[F.when(_cell(i).isNotNull(), F.struct(F.lit(k).alias("k"), _cell(i).alias("cell"))) for k, i in enumerate(intervals)])
-        hist = keys.select("size", F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("x")).groupBy("x.k", "x.cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-        counts: dict[int, list] = {k: [] for k in range(len(intervals))}
-        for r in hist.collect():  # at most PROBES rows for each open interval
-            counts[r.k].append((r.cell, {"bytes": r["bytes"], "rows": r["rows"]}))
-        sums = {k: _running(v) for k, v in counts.items()}
+        intervals = sorted({t.interval for t in open_}, key=lambda i: (i.lo, LOWEST) if i.at is None else (i.at, i.lo))
+        number = {i: k for k, i in enumerate(intervals)}
+        sums: list[dict[str, list]] = [{"cell": [], "bytes": [0], "rows": [0]} for _ in intervals]
+        for k, cell, size, n in _histogram(keys, intervals):
+            s = sums[k]
+            s["cell"].append(cell)
+            s["bytes"].append(s["bytes"][-1] + size)
+            s["rows"].append(s["rows"][-1] + n)
         for t in open_:
-            _narrow(t, t.interval, sums[intervals.index(t.interval)])
+            _narrow(t, t.interval, sums[number[t.interval]])
     return [(t.found, t.below) for t in targets]
 
 
-def _running(cells: list) -> list[tuple[int, dict]]:
-    """(cell, sums over the cells before it), and a last entry with the sums over all."""
-    out, now, cell = [], {"bytes": 0, "rows": 0}, -1
-    for cell, own in sorted(cells, key=lambda x: x[0]):
-        out.append((cell, dict(now)))
-        now = {m: now[m] + own[m] for m in now}
-    return [*out, (cell + 1, now)]
-
-
-def _narrow(t: Target, i: Interval, sums: list[tuple[int, dict]]) -> None:
-    """Takes a boundary that meets the target, or else the cell that holds it as the next interval."""
-    total = [{m: t.below[m] + own[m] for m in own} for _, own in sums]
-    k = min(range(len(sums)), key=lambda k: abs(total[k][t.measure] - t.want))
-    cell = max(0, bisect_right([x[t.measure] for x in total], t.want) - 1)
-    one_key = i.step == 1 and i.at is not None
-    if abs(total[k][t.measure] - t.want) <= t.slack or one_key or len(sums) == 1:
-        first = min(i.lo + sums[k][0] * i.step, HIGHEST)
-        t.found, t.below = ((first, LOWEST) if i.at is None else (i.at, first)), total[k]
+def _narrow(t: Target, i: Interval, sums: dict[str, list]) -> None:
+    """Takes a boundary that meets the target, or else the cell that holds it as the next interval. Lists have, for
+    each cell with rows and for the end, the sums of the cells before."""
+    left = t.want - t.below[t.measure]
+    before, cells = sums[t.measure], [*sums["cell"], sums["cell"][-1] + 1 if sums["cell"] else 0]
+    at = max(0, bisect_right(before, left) - 1)
+    k = min((x for x in (at, at + 1) if x < len(before)), key=lambda x: abs(before[x] - left))
+    exact = {m: t.below[m] + sums[m][k] for m in ("bytes", "rows")}
+    if abs(before[k] - left) <= t.slack or i.step == 1 and i.at is not None or len(before) == 1:
+        first = min(i.lo + cells[k] * i.step, HIGHEST)
+        t.found, t.below = ((first, LOWEST) if i.at is None else (i.at, first)), exact
         return
-    cell = min(cell, len(sums) - 2)
-    lo = i.lo + sums[cell][0] * i.step
-    t.below = total[cell]
+    at = min(at, len(before) - 2)
+    lo = i.lo + cells[at] * i.step
+    t.below = {m: t.below[m] + sums[m][at] for m in ("bytes", "rows")}
     if i.at is None and i.step == 1:
         t.interval = Interval(LOWEST, HIGHEST, lo)
     else:
         t.interval = Interval(lo, min(lo + i.step, i.hi), i.at)
 
 
-def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
-    """The columns of ``df`` named id, text, then size, shard and slot."""
+def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, carry: str | None = None) -> DataFrame:
+    """The id, the text or else the column to carry, then size, shard and slot."""
     scratch = Scratch(df.sparkSession)
     text = F.col(text_col).cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1
-    rows = df.select(F.col(id_col).cast("bigint").alias("own"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("id"), text.alias("text"), size.alias("size"), F.xxhash64(text).alias("h"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("own"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("id"), (text if carry is None else F.col(carry)).alias("text"), size.alias("size"), F.xxhash64(text).alias("h"))
     keys = scratch.save(rows.select("h", "id", "size"), "keys")
     sums = keys.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, n = sums.b or 0, sums.n
-    pieces = min(MAX_PIECES, max(MIN_PIECES, -(-n // PIECE_ROWS)))
+    pieces = min(MAX_PIECES, max(MIN_PIECES, -(-n // PIECE_ROWS), -(-total // PIECE_BYTES)))
+    half = pieces // 2
     start = Interval(LOWEST, HIGHEST)
     none = {"bytes": 0, "rows": 0}
     by_bytes = [Target("bytes", total * k / shards, total / shards * TOLERANCE, start, dict(none)) for k in range(1, shards)]
-    by_rows = [Target("rows", n * k / pieces, n / pieces * 0.2, start, dict(none)) for k in range(1, pieces)]
+    by_rows = [Target(m, t * k / half, t / half * 0.2, start, dict(none)) for m, t in (("rows", n), ("bytes", total)) for k in range(1, half)]
     found = splitters(keys, by_bytes + by_rows) if n else []
+    scratch.clear()
     cuts = sorted(found, key=lambda x: x[0])
     ends = sorted(x[0] for x in found[: shards - 1])
     below = [0, *(x[1]["rows"] for x in cuts)]
-    of_shard = [sum(e <= c for e in ends) for c in [(LOWEST, LOWEST), *(x[0] for x in cuts)]]
-    base = [below[of_shard.index(s)] for s in of_shard]
+    of_shard = [bisect_right(ends, c) for c in [(LOWEST, LOWEST), *(x[0] for x in cuts)]]
+    start_of = {s: b for s, b in reversed(list(zip(of_shard, below, strict=True)))}
+    base = [start_of[s] for s in of_shard]
     hs, ids = np.array([x[0][0] for x in cuts], np.int64), np.array([x[0][1] for x in cuts], np.int64)
 
     @F.pandas_udf("int")
     def piece(h: pd.Series, i: pd.Series) -> pd.Series:
-        a, b = h.to_numpy(), i.to_numpy()
-        lo, hi = np.searchsorted(hs, a, "left"), np.searchsorted(hs, a, "right")
-        for k in np.flatnonzero(lo < hi):  # keys whose hash is a splitter's own
-            lo[k] += np.searchsorted(ids[lo[k] : hi[k]], b[k], "right")
-        return pd.Series(lo.astype(np.int32))
+        return pd.Series(_place(hs, ids, h.to_numpy(), i.to_numpy()).astype(np.int32))
 
     placed = rows.withColumn("piece", piece("h", "id"))
-    facts = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(b - a).cast("bigint").alias("before")) for s, a, b in zip(of_shard, base, below, strict=True)])
+    table = [(k, s, b - a) for k, (s, a, b) in enumerate(zip(of_shard, base, below, strict=True))]
+    facts = F.broadcast(df.sparkSession.createDataFrame(table, "piece int, shard int, before bigint"))  # MAX_PIECES rows and SHARDS at most
     slot = F.row_number().over(Window.partitionBy("piece").orderBy("h", "id")) - 1
-    where = placed.withColumn("n", slot).withColumn("f", F.get(facts, F.col("piece")))
-    return where.select(F.col("own").alias(id_col), F.col("text").alias(text_col), "size", F.col("f.shard").alias("shard"), (F.col("f.before") + F.col("n")).alias("slot"))
+    where = placed.withColumn("n", slot).join(facts, "piece")
+    return where.select(F.col("own").alias(id_col), F.col("text").alias(carry or text_col), "size", "shard", (F.col("before") + F.col("n")).alias("slot"))
