@@ -26,7 +26,10 @@ from recolith.llm.runtime import Scratch
 
 THRESHOLD = 0.98
 SAMPLE = 8192
-BLOCK = 1024
+#: Vectors in a block, home vectors in a cell on average, and rows multiplied at once.
+BLOCK = 4096
+CELL = 1024
+TILE = 512
 MAX_CELLS = 1024
 ITERATIONS = 10
 
@@ -72,25 +75,29 @@ def homes(u: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, n
 
 
 def _links(side: np.ndarray, ids: np.ndarray, mult: np.ndarray, x: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(home ids, their linked rows, smallest id each is connected to here)."""
+    """(home ids and their linked rows, ids, smallest id each is connected to here)."""
     rows, cols = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     norm = np.linalg.norm(x, axis=1)
-    near = x[rows] @ x[cols].T / (norm[rows][:, None] * norm[cols][None, :]) >= threshold
-    near &= ids[rows][:, None] != ids[cols][None, :]
+    near = np.zeros((len(rows), len(cols)), bool)
+    for lo in range(0, len(rows), TILE):
+        r = rows[lo : lo + TILE]
+        near[lo : lo + TILE] = (x[r] @ x[cols].T / (norm[r][:, None] * norm[cols][None, :]) >= threshold) & (ids[r][:, None] != ids[cols][None, :])
     count = near @ mult[cols]
     some, other = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
     near = near[np.ix_(some, other)]
     top = np.iinfo(np.int64).max
     left, right = ids[rows][some].copy(), ids[cols][other].copy()
-    while len(left):
-        before = left.copy(), right.copy()
-        right = np.minimum(right, np.where(near, left[:, None], top).min(0))
-        left = np.minimum(left, np.where(near, right[None, :], top).min(1))
-        if (left == before[0]).all() and (right == before[1]).all():
-            break
+    moved = len(left) > 0
+    while moved:
+        moved = False
+        for lo in range(0, len(left), TILE):
+            part = near[lo : lo + TILE]
+            down = np.minimum(right, np.where(part, left[lo : lo + TILE, None], top).min(0))
+            up = np.minimum(left[lo : lo + TILE], np.where(part, down[None, :], top).min(1))
+            moved |= bool((down != right).any() or (up != left[lo : lo + TILE]).any())
+            right, left[lo : lo + TILE] = down, up
     a = np.concatenate([ids[rows][some], ids[cols][other]])
-    b = np.concatenate([left, right])
-    return np.stack([ids[rows], count]), a, b
+    return np.stack([ids[rows], count]), a, np.concatenate([left, right])
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
@@ -122,8 +129,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     largest = vectors.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     sample = vectors.select("x").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()
     if not sample:
-        return all_rows.select(F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    centres = fit_cells(np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float64).reshape(len(sample), width), min(MAX_CELLS, max(1, largest // BLOCK)))
+        return scratch.last(all_rows.select(F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept")))
+    centres = fit_cells(np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float64).reshape(len(sample), width), min(MAX_CELLS, max(1, largest // CELL)))
 
     def assign(batches):
         for batch in batches:
@@ -161,4 +168,4 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     named = scratch.save(named.select("label", "s1", "s2", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root")), "named")
     done = all_rows.select("id", "label", "s1", "s2").join(named, ["label", "s1", "s2"], "left")
     component = F.coalesce("root", "id")
-    return done.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return scratch.last(done.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept")))

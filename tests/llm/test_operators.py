@@ -184,11 +184,12 @@ def test_op3_by_definition(spark):
     root = list(range(n))
     for _ in range(n):
         root = [min([root[i], *(root[j] for j in np.flatnonzero(link[i]))]) for i in range(n)]
-    old, op3.BLOCK = op3.BLOCK, 8
+    old = op3.BLOCK, op3.CELL, op3.TILE
+    op3.BLOCK, op3.CELL, op3.TILE = 8, 8, 3
     try:
         got = {r.vec_id: r for r in op3.near_duplicates(df).collect()}
     finally:
-        op3.BLOCK = old
+        op3.BLOCK, op3.CELL, op3.TILE = old
     for i in range(n):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (int(link[i].sum()), root[i], root[i] == i)
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(n, n + 7))
