@@ -80,16 +80,18 @@ def _tail(count: int, mean: float) -> float:
 
 @dataclass(frozen=True)
 class Terms:
-    """Hashes of word beginnings that mark toxic texts, and their rate among the words of others."""
+    """Hashes of word beginnings that mark toxic texts, their rate among the words of others, and the share of toxic
+    texts among the labelled ones."""
 
     hashes: np.ndarray
     rate: float = 0.0
+    share: float | None = None
 
     def vote(self, beginnings: np.ndarray) -> int:
         if not len(self.hashes):
             return -1
         c, mean = int(_in(beginnings, self.hashes).sum()), len(beginnings) * self.rate
-        if c >= 2 and c > 3 * mean and _tail(c, mean) < 1e-3:
+        if c >= 2 and c > 3 * mean and _tail(c, mean) < 3e-4:
             return 1
         return 0 if c == 0 or _tail(c, mean) > 0.05 else -1
 
@@ -115,9 +117,9 @@ def votes_of(counts: np.ndarray, h: np.ndarray, beginnings: np.ndarray, terms: T
         out[5] = 1 if counts[124] / n > 0.2 and counts[124] >= 5 else -1
     a, b = int(_in(h, _SETS["insults"]).sum()), int(_in(h, _SETS["slurs"]).sum())
     c = terms.vote(beginnings)
-    # lists of one language say nothing about texts without their words, unless there is no better judge
+    # a single adjective can be innocent, and lists of one language say nothing about texts without their words, unless there is no better judge
     calm = 0 if a + b == 0 and not len(terms.hashes) else -1
-    return [*out, 1 if a else -1, 1 if b else -1, c, 1 if a + b >= 2 and (a + b) / n > 0.01 else calm]
+    return [*out, 1 if a else -1, 1 if b >= 2 else -1, c, 1 if a + b >= 2 and (a + b) / n > 0.01 else calm]
 
 
 def _texts(batch: pa.RecordBatch):
@@ -144,35 +146,43 @@ def _features(h: np.ndarray, votes: list[int]) -> np.ndarray:
 
 #: Pseudo-counts of yes and no votes in class 0 and 1: labellers are made to be rarely wrong when they say yes.
 PRIOR = np.array([[0.2, 100.0], [2.0, 3.0]])
-#: Largest share of class 0 in which a labeller is taken to say yes.
-MAX_FALSE = 0.01
+#: Largest share of class 0 in which a labeller is taken to say yes (one that only ever says yes, if anything: the
+#: second), least share of class 1 in which terms learnt from labels do, and the largest share of class 1.
+MAX_FALSE = 0.01, 0.1
+MIN_TERMS = 0.5
+MAX_PRIOR = 0.2
 
 
-def fit_labellers(patterns: list[tuple[tuple[int, ...], int]], prior: float = 0.1, rounds: int = 50) -> dict[tuple[int, ...], float]:
+def fit_labellers(patterns: list[tuple[tuple[int, ...], int]], names: tuple[str, ...], known: float | None = None, rounds: int = 50) -> dict[tuple[int, ...], float]:
     """Posterior of class 1 for every vote pattern, by expectation-maximisation over (pattern, count). A labeller
-    without opinion says nothing about the class."""
+    without opinion says nothing about the class; how often one that never says no says yes counts over all texts.
+    The share of class 1 is estimated unless labels make it known."""
     if not patterns:
         return {}
+    prior = 0.1 if known is None else float(np.clip(known, 1e-4, 0.5))
     votes = np.array([p for p, _ in patterns])
     n = np.array([c for _, c in patterns], float)
     yes, no = (votes == 1).astype(float), (votes == 0).astype(float)
+    only_yes = no.sum(0) == 0
+    least = np.array([MIN_TERMS if name == "terms" else 1e-6 for name in names])
+    most = np.where(only_yes, MAX_FALSE[1], MAX_FALSE[0])
     rate = np.repeat((PRIOR[:, :1] / PRIOR.sum(1, keepdims=True)), votes.shape[1], axis=1)  # of yes, by class and labeller
     for _ in range(rounds):
         logs = np.stack([np.log(w) + yes @ np.log(rate[c]) + no @ np.log(1 - rate[c]) for c, w in enumerate((1 - prior, prior))])
         post = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
-        prior = float(np.clip((n @ post + 1) / (n.sum() + 10), 1e-4, 0.5))
+        if known is None:
+            prior = float(np.clip((n @ post + 1) / (n.sum() + 10), 1e-4, MAX_PRIOR))
         for c, w in enumerate((n * (1 - post), n * post)):
-            said, against = w @ yes + PRIOR[c, 0], w @ no + PRIOR[c, 1]
-            rate[c] = np.clip(said / (said + against), 1e-6, (MAX_FALSE, 1 - 1e-6)[c])
+            said = w @ yes + PRIOR[c, 0]
+            heard = np.where(only_yes, w.sum(), w @ (yes + no)) + PRIOR[c].sum()
+            rate[c] = np.clip(said / heard, (1e-6, least)[c], (most, 1 - 1e-6)[c])
     return {tuple(v.tolist()): float(p) for v, p in zip(votes, post, strict=True)}
 
 
 def fit_scorer(rows: list[np.ndarray], want: np.ndarray) -> np.ndarray:
     """Weights of a logistic scorer over hashed features, by full-batch gradient with per-feature steps; the last
-    weight is the bias. Rows of both classes weigh the same in sum."""
+    weight is the bias."""
     w = np.zeros(FEATURES + 1)
-    pos = max(want.sum(), 1e-6)
-    weight = np.where(want > 0.5, 0.5 / pos, 0.5 / max((1 - want).sum(), 1e-6))
     seen = np.full(FEATURES + 1, 1e-8)
     for _ in range(EPOCHS if rows else 0):
         grad = 1e-6 * w
@@ -183,7 +193,7 @@ def fit_scorer(rows: list[np.ndarray], want: np.ndarray) -> np.ndarray:
             vals = np.repeat([_word_value(len(x)) for x in part], [len(x) for x in part])
             vals[cols < VOTE_FEATURES] = 1
             score = np.bincount(row, weights=w[cols] * vals, minlength=len(part)) + w[-1]
-            error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - want[lo : lo + STEP_ROWS]) * weight[lo : lo + STEP_ROWS]
+            error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - want[lo : lo + STEP_ROWS]) / len(rows)
             grad += np.bincount(cols, weights=error[row] * vals, minlength=FEATURES + 1)
             grad[-1] += error.sum()
         seen += grad * grad
@@ -216,7 +226,7 @@ def toxic_terms(docs: DataFrame, labels: DataFrame | None) -> Terms:
         return Terms(np.zeros(0, np.uint64))
     often = (F.col("bad") / F.lit(whole.bad)) >= RATIO * (F.col("good") + 0.5) / F.lit(max(1, whole.good))
     best = seen.filter((F.col("w") != 0) & (F.col("bad") >= MIN_TOXIC) & often).orderBy(F.desc("bad"), "w").limit(MAX_TERMS).collect()
-    return Terms(np.sort(np.array([r.w for r in best], np.int64).view(np.uint64)), sum(r.n for r in best) / max(1, whole.n))
+    return Terms(np.sort(np.array([r.w for r in best], np.int64).view(np.uint64)), sum(r.n for r in best) / max(1, whole.n), whole.bad / (whole.bad + whole.good))
 
 
 @dataclass(frozen=True)
@@ -261,7 +271,7 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
     for votes, n in patterns:
         for k, part in enumerate((votes[:q], votes[q:])):
             sums[k][part] = sums[k].get(part, 0) + n
-    posterior = [fit_labellers(sorted(s.items())) for s in sums]
+    posterior = [fit_labellers(sorted(s.items()), names, known) for s, names, known in zip(sums, (QUALITY, TOXIC), (None, terms.share), strict=True)]
 
     picked = voted.filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
     train = docs.join(F.broadcast(picked.dropDuplicates(["id"])), "id").select("id", "text", "votes")
