@@ -132,12 +132,12 @@ def _narrow(t: Target, i: Interval, sums: dict[str, list]) -> None:
         t.interval = Interval(lo, min(lo + i.step, i.hi), i.at)
 
 
-def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, carry: str | None = None) -> DataFrame:
-    """The id, the text or else the column to carry, then size, shard and slot."""
+def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
+    """The id and the text, then size, shard and slot."""
     scratch = Scratch(df.sparkSession)
     text = F.col(text_col).cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1
-    rows = df.select(F.col(id_col).cast("bigint").alias("own"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("id"), (text if carry is None else F.col(carry)).alias("text"), size.alias("size"), F.xxhash64(text).alias("h"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("own"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("id"), text.alias("text"), size.alias("size"), F.xxhash64(text).alias("h"))
     keys = scratch.save(rows.select("h", "id", "size"), "keys")
     sums = keys.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, n = sums.b or 0, sums.n
@@ -166,4 +166,4 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     facts = F.broadcast(df.sparkSession.createDataFrame(table, "piece int, shard int, before bigint"))  # MAX_PIECES rows and SHARDS at most
     slot = F.row_number().over(Window.partitionBy("piece").orderBy("h", "id")) - 1
     where = placed.withColumn("n", slot).join(facts, "piece")
-    return where.select(F.col("own").alias(id_col), F.col("text").alias(carry or text_col), "size", "shard", (F.col("before") + F.col("n")).alias("slot"))
+    return where.select(F.col("own").alias(id_col), F.col("text").alias(text_col), "size", "shard", (F.col("before") + F.col("n")).alias("slot"))

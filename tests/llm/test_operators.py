@@ -18,6 +18,7 @@ from recolith.llm import (
     op3_embeddings as op3,
     op4_wavelet as op4,
     op5_quality as op5,
+    op6_query,
     op6_shard as op6,
     op7_backoff as op7,
     op8_minhash as op8,
@@ -295,6 +296,15 @@ def test_op6_law(spark, docs, empty):
     assert op6.shard(empty).count() == 0
 
 
+def test_op6_digests_come_from_the_shards(spark, tmp_path, monkeypatch):
+    rows = [(1, "one"), (2, "é\n"), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text_crc32 for r in op6_query.op6_histogram_sort(spark, str(tmp_path)).collect()}
+    assert got == {k: zlib.crc32((t or "").encode()) for k, t in rows}
+    monkeypatch.setattr(op6_query, "shard", lambda df, **other: op6.shard(df, **other).withColumn("text", F.lit("arrived")))
+    assert {r.text_crc32 for r in op6_query.op6_histogram_sort(spark, str(tmp_path)).collect()} == {zlib.crc32(b"arrived")}
+
+
 def words(text, pattern):
     return re.findall(pattern, re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
 
