@@ -14,8 +14,8 @@ from recolith.sources import view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Trees of the model queries; the full number is the default of model.Settings.
-FAST = model.Settings(trees=12, depth=4, folds=3)
+#: Folds of the cross-validation query, as in the reference.
+FOLDS = 5
 CUT = 0.55
 
 
@@ -392,7 +392,7 @@ def gbt_scores(spark, sf_dir):
     ranked = b.ranked.select("s1_id", "target_id")
     labelled = pairs.training_pairs(ranked, pairs.distractors(b.refs, b.targets, b.truth, ranked), b.truth)
     features = pairs.pair_features(labelled, b.refs, b.targets).persist()
-    return model.predict(model.fit(features, FAST), features).select("s1_id", "target_id", "label", "prob")
+    return model.predict(model.fit(features), features).select("s1_id", "target_id", "label", "prob")
 
 
 @query
@@ -400,7 +400,7 @@ def cv_summary(spark, sf_dir):
     b = Base(spark, sf_dir)
     ranked = b.ranked.select("s1_id", "target_id")
     features = pairs.pair_features(pairs.label_pairs(ranked, b.truth), b.refs, b.targets).persist()
-    return model.summary(model.cross_validate(features, b.entities, b.truth, FAST, 2))
+    return model.summary(model.cross_validate(features, b.entities, b.truth, k=FOLDS))
 
 
 @query
@@ -408,7 +408,7 @@ def match_results(spark, sf_dir):
     b = Base(spark, sf_dir)
     raw = b.rows.select("entity_id", "business_name", "business_address", "country", "load_seq")
     refs, targets = raw.filter("entity_id like 'S1-%'"), raw.filter("entity_id not like 'S1-%'")
-    bundle = linkage.train(refs, targets, b.truth, FAST)
+    bundle = linkage.train(refs, targets, b.truth)
     ranked, matched = linkage.predict(bundle, refs, targets)
     hits = blocking.candidate_lists(refs, ranked.join(matched.select("s1_id", "target_id"), ["s1_id", "target_id"], "left_semi"))
     return hits.withColumnRenamed("candidate_entity_ids", "matched_entity_ids")

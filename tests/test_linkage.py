@@ -10,6 +10,7 @@ from recolith.functions.cleaning import clean_records
 from recolith.operators import audit, blocking, evaluation, keys, pairs, sets, validation
 from recolith.__main__ import main
 from recolith.plans import benchmark, linkage, model, report
+from recolith.queries import QUERIES
 from recolith.sources import fixtures, records
 from recolith.streaming.records import rank_stream
 
@@ -267,6 +268,29 @@ def test_model(spark, data, tmp_path):
         model.fit(features.filter("label = 1"), settings)
 
 
+def test_model_queries_run_the_whole_model(spark, tmp_path, monkeypatch):
+    rows = [(i, f"one two three four {i % 4}", "en") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = {}
+
+    def stop(name):
+        def run(*args, settings=None, k=None):
+            settings = next((x for x in args if isinstance(x, model.Settings)), settings)
+            seen[name] = settings or model.Settings(), next((x for x in args if isinstance(x, int)), k)
+            raise InterruptedError
+
+        return run
+
+    for where, name in ((model, "fit"), (model, "cross_validate"), (linkage, "train")):
+        monkeypatch.setattr(where, name, stop(name))
+    for query in ("gbt_scores", "cv_summary", "match_results"):
+        with pytest.raises(InterruptedError):
+            QUERIES[query](spark, str(tmp_path))
+    spark.catalog.clearCache()
+    assert all(s == model.Settings() for s, _ in seen.values()) and set(seen) == {"fit", "cross_validate", "train"}
+    assert seen["cross_validate"][1] == 5
+
+
 def test_stream(spark, data, tmp_path):
     refs, targets, _ = data
     raw = ["entity_id", "business_name", "business_address", "country"]
