@@ -7,7 +7,8 @@ validates it. A run of digits is parsed once, from its first digit, whatever its
 Base kinds (email, ip, card, phone) are leftmost and non-overlapping within their kind; a match that fails its
 check is dropped with the text it covers. Added kinds: ``url_auth`` (user information in a URL), ``iban``
 (country code, ISO 13616 check), ``account`` (6 to 20 digits, or letters and digits, after a cue such as
-"account no"), ``ssn`` (3-2-4 digits after such a cue or alone with hyphens).
+"account no"), ``ssn`` (3-2-4 digits after such a cue or alone with hyphens). Schemes and cues count in any mix of ASCII
+letter cases, user information at any length.
 
 Defined results: a null or empty text has no spans. Offsets are code points, the end exclusive. Only the id and
 text columns are read; rows are independent, so ties, copies, very long texts and empty tables need nothing.
@@ -32,9 +33,9 @@ _domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
 _groups = re.compile(r"[0-9]+(?:\.[0-9]+)*").match
 _spaced = re.compile(r"[0-9](?:[ -]?[0-9])*").match
 _dial = re.compile(r"[ ().0-9-]+").match
-_authority = re.compile(r"[^\s/?#@]{1,256}@[A-Za-z0-9.-]+").match
-_iban = re.compile(r"[ :#.]*(?:no\.?|number)?[ :#.]*([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])").match
-_value = re.compile(r"[ .:#]*(?:(?:is|no|number)\b)?[ .:#]*([A-Z]{0,2}[0-9](?:[ -]?[0-9]){5,19})(?![A-Za-z0-9])").match
+_authority = re.compile(r"[^\s/?#@]++@[A-Za-z0-9.-]+").match
+_iban = re.compile(r"[ :#.]*(?ai:no\.?|number)?[ :#.]*([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])").match
+_value = re.compile(r"[ .:#]*(?:(?ai:is|no|number)\b)?[ .:#]*([A-Z]{0,2}[0-9](?:[ -]?[0-9]){5,19})(?![A-Za-z0-9])").match
 _ssn = re.compile(r"([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])").match
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -61,11 +62,9 @@ def _machine():
         a.add_word(d, ("d", 1))
         a.add_word("+" + d, ("+", 2))
     for s in SCHEMES:
-        for form in {s, s.upper()}:
-            a.add_word(form, ("s", len(form)))
+        a.add_word(s, ("s", len(s)))
     for s in CUES:
-        for form in {s, s.upper(), s.capitalize(), s.title()}:
-            a.add_word(form, ("c", len(form)))
+        a.add_word(s, ("c", len(s)))
     a.make_automaton()
     return a
 
@@ -73,6 +72,11 @@ def _machine():
 _machines: list = []
 
 
+def _lower(text: str) -> str:
+    """The text with ASCII letters in lower case, so that offsets stay."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def find(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every span, by start, then kind as listed."""
     if not text:
@@ -82,7 +86,7 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     spans: list[tuple[int, int, str]] = []
     mail_end = dots_end = card_end = 0
     n = len(text)
-    for last, (what, width) in _machines[0].iter(text):
+    for last, (what, width) in _machines[0].iter(_lower(text)):
         at = last + 1 - width
         if what == "d":
             if at >= dots_end:

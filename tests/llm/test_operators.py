@@ -446,6 +446,14 @@ def test_op9_added_spans(spark):
     assert [r.text for r in op9.mask(df).orderBy("doc_id").collect()] == ["mail [EMAIL] now", None]
 
 
+@pytest.mark.parametrize("fill", ["k", "é"])
+def test_op9_long_tokens_and_mixed_cases(fill):
+    token = fill * 1000
+    text = f"İ hTTps://{token}@host.org, account No 12345678, iBaN NO. GB82 WEST 1234 5698 7654 32; aCCt: Is 87654321"
+    got = {(text[a:b], kind) for a, b, kind in op9.find(text)}
+    assert {(token, "url_auth"), ("12345678", "account"), ("GB82 WEST 1234 5698 7654 32", "iban"), ("87654321", "account")} <= got
+
+
 def test_op10_by_definition(spark, docs, empty):
     rng = random.Random(9)
     shared = TEXTS[20]
