@@ -1,14 +1,14 @@
 """Near duplicates among embeddings: spherical k-means cells and blocked cosine products.
 
-Equal vectors of a label form one class, which its smallest id stands for. Centroids are fitted on at most
-SAMPLE vectors; every vector goes to its nearest centroid's cell, its home, and as a visitor to each cell in which
+Vectors of different lengths are never linked, and each length has centroids of its own. Equal vectors of a label
+form one class, which its smallest id stands for. Centroids are fitted on at most SAMPLE vectors of the lengths that need
+more than one cell; every vector goes to its nearest centroid's cell, its home, and as a visitor to each cell in which
 a vector at cosine >= the threshold could have its home: to the cells whose dividing plane lies within the
-angle of the threshold. So no link is lost at a cell's border, and recall is 1. Within a (label, cell) vectors are
+angle of the threshold. So no link is lost at a cell's border, and recall is 1. Within a (label, length, cell) vectors are
 dealt into blocks of about BLOCK; products are made block by block in double precision, and for every home vector
 only its number of links and a spanning forest of them leave the task, never the pairs.
 
-Defined results: vectors that are null, zero, or hold null or non-finite components, vectors of another length
-than most of the sample, and rows without a label link with nothing: n_links 0, component_id the own id. Ids are
+Defined results: vectors that are null, zero, or hold null or non-finite components, and rows without a label link with nothing: n_links 0, component_id the own id. Ids are
 unique, rows without an id are left out. Only the id, vector and label columns are read. An empty table gives an empty result.
 """
 
@@ -18,6 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ ITERATIONS = 10
 
 
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rows that hold usable vectors, those vectors in double precision); width 0 takes any one length."""
+    """(rows that hold usable vectors, those vectors in double precision)."""
     lists = column.cast(pa.list_(pa.float64()))
     lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     fit = np.flatnonzero((lengths == width) & (lengths > 0))
@@ -105,55 +106,60 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     spark = df.sparkSession
     scratch = Scratch(spark)
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("v")).filter("id is not null")
-    lengths = rows.filter("label is not null and v is not null").groupBy(F.size("v").alias("d")).count()
-    usual = lengths.orderBy(F.desc("count"), "d").first()
-    width = usual.d if usual else 0
 
     def read(batches):
         for batch in batches:
-            fit, x = _matrix(batch.column("v"), width) if width else (np.zeros(0, int), np.zeros((0, 0)))
-            keys = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in x]
-            s = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             full, blank = np.zeros((batch.num_rows, 2), np.int64), np.ones(batch.num_rows, bool)
-            full[fit], blank[fit] = s, False
             blobs: list = [None] * batch.num_rows
-            for k, r in zip(fit, x, strict=True):
-                blobs[k] = r.tobytes()
+            for width in pc.unique(pc.list_value_length(batch.column("v")).drop_null()).to_pylist():
+                fit, x = _matrix(batch.column("v"), width)
+                keys = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in x]
+                full[fit], blank[fit] = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2), False
+                for k, r in zip(fit, x, strict=True):
+                    blobs[k] = r.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(full[:, 0], mask=blank), pa.array(full[:, 1], mask=blank), pa.array(blobs, pa.binary())], ["id", "label", "s1", "s2", "x"])
 
     all_rows = scratch.save(rows.mapInArrow(read, "id bigint, label string, s1 bigint, s2 bigint, x binary"), "vectors")
     usable = all_rows.filter("label is not null and s1 is not null")
     classes = scratch.save(usable.groupBy("label", "s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("m")), "classes")
     vectors = all_rows.select(F.col("id").alias("rep"), "x").join(classes.select("label", "rep", "m"), "rep")
-    vectors = scratch.save(vectors, "reps")
-    largest = vectors.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    sample = vectors.select("x").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()
-    if not sample:
+    vectors = scratch.save(vectors.withColumn("d", (F.octet_length("x") / 8).cast("int")), "reps")
+    largest = vectors.groupBy("label", "d").count().groupBy("d").agg(F.max("count").alias("n")).collect()  # a row for each length
+    if not largest:
         return scratch.last(all_rows.select(F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept")))
-    centres = fit_cells(np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float64).reshape(len(sample), width), min(MAX_CELLS, max(1, largest // CELL)))
+    wide = {r.d: min(MAX_CELLS, r.n // CELL) for r in largest if r.n // CELL > 1}  # other lengths have one cell
+    centres = {}
+    for d, k in wide.items():
+        sample = vectors.filter(F.col("d") == d).select("x").orderBy(F.xxhash64("rep"), "rep").limit(max(1, SAMPLE // len(wide))).collect()
+        centres[d] = fit_cells(np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float64).reshape(len(sample), d), k)
 
     def assign(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float64).reshape(batch.num_rows, width)
-            own, visit = homes(x / np.linalg.norm(x, axis=1, keepdims=True), centres, threshold)
-            r, cell = np.nonzero(visit)
-            pick, cell = np.concatenate([np.arange(len(x)), r]), np.concatenate([own, cell])
-            home = np.arange(len(pick)) < len(x)
-            part = batch.take(pa.array(pick))
-            yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(cell, pa.int32()), pa.array(home), part.column("rep"), part.column("m"), part.column("x")], ["label", "cell", "home", "rep", "m", "x"])
-
-    dealt = scratch.save(vectors.select("label", "rep", "m", "x").mapInArrow(assign, "label string, cell int, home boolean, rep bigint, m bigint, x binary"), "cells")
-    sizes = scratch.save(dealt.groupBy("label", "cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK)).cast("int").alias("nb")), "sizes")
-    placed = dealt.join(sizes, ["label", "cell"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+            widths = batch.column("d").to_numpy()
+            for d in np.unique(widths):
+                own_rows = batch.take(pa.array(np.flatnonzero(widths == d)))
+                n = own_rows.num_rows
+                if d in centres:
+                    x = np.frombuffer(b"".join(own_rows.column("x").to_pylist()), np.float64).reshape(n, d)
+                    own, visit = homes(x / np.linalg.norm(x, axis=1, keepdims=True), centres[d], threshold)
+                else:
+                    own, visit = np.zeros(n, int), np.zeros((n, 1), bool)
+                r, cell = np.nonzero(visit)
+                pick, cell = np.concatenate([np.arange(n), r]), np.concatenate([own, cell])
+                part = own_rows.take(pa.array(pick))
+                columns = [part.column("label"), part.column("d"), pa.array(cell, pa.int32()), pa.array(np.arange(len(pick)) < n), part.column("rep"), part.column("m"), part.column("x")]
+                yield pa.RecordBatch.from_arrays(columns, ["label", "d", "cell", "home", "rep", "m", "x"])
+
+    dealt = scratch.save(vectors.select("label", "d", "rep", "m", "x").mapInArrow(assign, "label string, d int, cell int, home boolean, rep bigint, m bigint, x binary"), "cells")
+    sizes = scratch.save(dealt.groupBy("label", "d", "cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK)).cast("int").alias("nb")), "sizes")
+    placed = dealt.join(sizes, ["label", "d", "cell"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
     every = F.sequence(F.lit(0), F.col("nb") - 1)
-    left = placed.filter("home").select("label", "cell", F.col("own").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), "rep", "m", "x")
-    right = placed.select("label", "cell", F.explode(every).alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "m", "x")
+    left = placed.filter("home").select("label", "d", "cell", F.col("own").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"), "rep", "m", "x")
+    right = placed.select("label", "d", "cell", F.explode(every).alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "m", "x")
 
     def products(table: pa.Table) -> pa.Table:
         n = table.num_rows
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float64).reshape(n, width)
+        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float64).reshape(n, -1)  # of one length
         side, ids, mult = (table.column(c).to_numpy() for c in ("side", "rep", "m"))
         (home, count), a, b = _links(side, ids, mult, x, threshold)
         some = count > 0
@@ -161,7 +167,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
         columns = [np.concatenate([home[some], a[edge]]), np.concatenate([count[some], np.zeros(edge.sum(), np.int64)]), np.concatenate([home[some], b[edge]])]
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "n", "b"])
 
-    out = scratch.save(left.union(right).groupBy("label", "cell", "i", "j").applyInArrow(products, "a bigint, n bigint, b bigint"), "links")
+    out = scratch.save(left.union(right).groupBy("label", "d", "cell", "i", "j").applyInArrow(products, "a bigint, n bigint, b bigint"), "links")
     root = components(out.filter("a <> b").select("a", "b"), scratch)
     counts = out.filter("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     named = classes.join(counts, "rep", "left").join(root.select(F.col("v").alias("rep"), "root"), "rep", "left")

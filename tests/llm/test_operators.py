@@ -197,6 +197,25 @@ def test_op3_by_definition(spark):
     assert op3.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cell", [1024, 4])
+def test_op3_links_within_each_length(spark, monkeypatch, cell):
+    monkeypatch.setattr(op3, "CELL", cell)
+    rng = np.random.default_rng(5)
+    rows = []
+    for width, n in ((8, 30), (3, 12), (5, 9)):
+        for v in rng.normal(size=(n, width)):
+            rows += [(len(rows), v.tolist(), 0), (len(rows) + 1, (v * 2).tolist(), 0)]
+    rows += [(len(rows), [*rows[0][1], 0.0], 0), (len(rows) + 1, [], 0)]
+    got = {r.vec_id: r for r in op3.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    x = {i: np.array(v) for i, v, _ in rows if v}
+    link = {i: [j for j in x if j != i and len(x[j]) == len(x[i]) and x[i] @ x[j] >= 0.98 * np.linalg.norm(x[i]) * np.linalg.norm(x[j])] for i in x}
+    root = {i: i for i in x}
+    for _ in x:
+        root = {i: min([root[i], *(root[j] for j in link[i])]) for i in x}
+    assert len(got) == len(rows) and (got[len(rows) - 1].n_links, got[len(rows) - 1].component_id) == (0, len(rows) - 1)
+    assert all((got[i].n_links, got[i].component_id) == (len(link[i]), root[i]) for i in x) and all(link[i] for i in range(102))
+
+
 def test_op4_round_trip_and_wavelet(spark, docs, empty, tmp_path):
     import tokenizers
 
