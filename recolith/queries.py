@@ -367,6 +367,14 @@ def validation_report(spark, sf_dir):
     return validation.validation_report(matches, None, b.refs, b.targets).filter("file = 'matching'")
 
 
+@query
+def validation_report_both(spark, sf_dir):
+    b = Base(spark, sf_dir)
+    matches = _lines(view.truth_table(b.rows), "matched_entity_ids").persist()
+    candidates = _lines(blocking.candidate_lists(b.refs, b.ranked), "candidate_entity_ids").persist()  # each rule reads the lines
+    return validation.validation_report(matches, candidates, b.refs, b.targets)
+
+
 @query
 def schema_audit(spark, sf_dir):
     lines = _lines(view.truth_table(Base(spark, sf_dir).rows), "matched_entity_ids")

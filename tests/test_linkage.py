@@ -220,6 +220,17 @@ def test_validation(spark):
     assert {r.rule for r in csv.collect()} == {"V2_comma_separated", "V11_no_candidate_file"}
 
 
+def test_validation_query_reads_both_files(spark, tmp_path):
+    rows = [(i, f"one two three four {'five' * (i % 4)}", "en") for i in range(12)]
+    rows += [(291, "six seven eight nine", "en"), (292, "six seven eight nine", "en")]  # alike, but 291 has no country
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    missed = {r.s1_id for r in QUERIES["subset_anti"](spark, str(tmp_path)).collect()}
+    found = {(r.file, r.rule): r for r in QUERIES["validation_report_both"](spark, str(tmp_path)).collect()}
+    assert "S1-00000291" in missed and found["matching", "V11_not_candidate"].examples == "S1-00000291"
+    assert ("candidate", "V3_no_tab") in found and ("candidate", "V11_no_candidate_file") not in found
+    assert not any(rule == "V11_no_candidate_file" for _, rule in found)
+
+
 def test_files(spark, data, tmp_path):
     path = tmp_path / "s.tsv"
     path.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\tA\t\tUS\nS1-2\tB\tx\tFR\textra\n")
