@@ -20,10 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from recolith.llm.runtime import small_batches, trimmed
+
 MARK = "▁"
-BATCH_TEXTS = 256
+#: Texts, and bytes of text but for the last, that are encoded before a batch of results leaves.
+BATCH_TEXTS, BATCH_BYTES = 256, 1 << 20
 
 
 class CharMap:
@@ -61,7 +65,7 @@ class Encoding:
 
     __slots__ = ("ends", "ids", "starts")
 
-    def __init__(self, ids: list[int], starts: np.ndarray, ends: np.ndarray):
+    def __init__(self, ids: list[int] | np.ndarray, starts: np.ndarray, ends: np.ndarray):
         self.ids, self.starts, self.ends = ids, starts, ends
 
 
@@ -87,6 +91,7 @@ class PieceEncoder:
         spec.name, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = "identity", False, False, False
         self.raw = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         self.eos, self.unk = self.whole.eos_id(), self.whole.unk_id()
+
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its bytes (and its end) the byte of the original."""
         data = text.encode()
@@ -94,8 +99,9 @@ class PieceEncoder:
             if not data:
                 return "", np.zeros(1, np.int64)
             space = np.frombuffer(data, np.uint8) == 32
-            source = np.repeat(np.arange(len(data)), np.where(space, 3, 1))
-            return MARK + text.replace(" ", MARK), np.concatenate([[0, 0, 0], source, [len(data)]])
+            kind = np.int32 if len(data) < 2**31 else np.int64
+            source = np.repeat(np.arange(len(data), dtype=kind), 1 + 2 * space.astype(np.int8))
+            return MARK + text.replace(" ", MARK), np.concatenate([np.zeros(3, kind), source, np.array([len(data)], kind)])
         return self._normalise_by_map(data)
 
     def _steps(self, data: bytes) -> Iterator[tuple[int, int, bytes]]:
@@ -153,7 +159,7 @@ class PieceEncoder:
             width = np.array([len(p.surface.encode()) for p in self.raw.encode(normal, out_type="immutable_proto").pieces])
         else:
             width = self.width[np.array(ids, np.int64)]
-        at = source[np.concatenate([[0], np.cumsum(width), [-1]])]
+        at = source[np.concatenate([[0], np.cumsum(width), [-1]])].astype(np.int64)
         ids.append(self.eos)
         return Encoding(ids, at[:-1], at[1:])
 
@@ -178,9 +184,21 @@ def encoder_of(model_path: str) -> PieceEncoder:
 
 def _rows(batches, build):
     for batch in batches:
-        for lo in range(0, batch.num_rows, BATCH_TEXTS):
-            part = batch.slice(lo, BATCH_TEXTS)
+        upto = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < batch.num_rows:
+            held = upto[lo - 1] if lo else 0
+            hi = min(lo + BATCH_TEXTS, max(lo + 1, int(np.searchsorted(upto, held + BATCH_BYTES, "right"))), batch.num_rows)
+            part = batch.slice(lo, hi - lo)
             yield build(part.column(0), part.column(1).to_pylist())
+            lo = hi
+
+
+def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
+    """An Arrow list column of arrays, without a Python object for each element."""
+    ends = np.cumsum([0, *(len(x) for x in arrays)])
+    values = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
 
 
 def _named(df: DataFrame, id_col: str, schema: str) -> str:
@@ -189,16 +207,20 @@ def _named(df: DataFrame, id_col: str, schema: str) -> str:
 
 def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: id, ids, starts and ends (bytes of the original text)."""
+    small_batches(df.sparkSession)
 
+    @trimmed
     def run(batches):
         enc = encoder_of(model_path)
 
         def build(keys, texts):
-            done = [enc.encode(t) for t in texts]
-            return pa.RecordBatch.from_arrays(
-                [keys, pa.array([x.ids for x in done], pa.list_(pa.int32())), pa.array([x.starts for x in done], pa.list_(pa.int64())), pa.array([x.ends for x in done], pa.list_(pa.int64()))],
-                [id_col, "ids", "starts", "ends"],
-            )
+            done = []
+            for text in texts:
+                x = enc.encode(text)
+                x.ids = np.array(x.ids, np.int32)
+                done.append(x)
+            columns = [_lists([x.ids for x in done], pa.int32()), _lists([x.starts for x in done], pa.int64()), _lists([x.ends for x in done], pa.int64())]
+            return pa.RecordBatch.from_arrays([keys, *columns], [id_col, "ids", "starts", "ends"])
 
         yield from _rows(batches, build)
 
@@ -208,6 +230,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
 def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per sequence: id, text (null ids: empty)."""
 
+    @trimmed
     def run(batches):
         enc = encoder_of(model_path)
         for batch in batches:
@@ -220,6 +243,7 @@ def decode(df: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str
 def digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per text, of the encoding, its spans and the text decoded from the ids: counts and digests only."""
 
+    @trimmed
     def run(batches):
         enc = encoder_of(model_path)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recolith.llm.runtime import Scratch
+from recolith.llm.runtime import Scratch, trimmed
 from recolith.llm.text import MIX, SPACES, batches_of_words, mix64
 
 ORDER = 3
@@ -39,6 +39,7 @@ BUCKET_ENTRIES = 1_500_000
 def _chunks(docs: DataFrame) -> DataFrame:
     """(chunk, ids, sizes, vocab, codes): words of documents in order, as places in the chunk's vocabulary."""
 
+    @trimmed
     def run(batches):
         ids, sizes, words, held, no, part = [], [], [], 0, 0, None
 
@@ -168,6 +169,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n_words = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(8, min(1 << 20, -(-n_words * 2 // BUCKET_ENTRIES)))
 
+    @trimmed
     def send(batches):
         for batch in batches:
             for r in range(batch.num_rows):
@@ -182,6 +184,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                             ["bucket", "chunk", "n", "grams", "counts"],
                         )
 
+    @trimmed
     def total(table: pa.Table) -> pa.Table:
         grams = [_unpack(x) for x in table.column("grams").to_pylist()]
         counts = [_unpack_counts(x) for x in table.column("counts").to_pylist()]
@@ -195,6 +198,7 @@ def backoff_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     totals = sent.groupBy("bucket").applyInArrow(total, "bucket int, chunk string, n int, totals binary")
     totals = scratch.save(totals, "totals")
 
+    @trimmed
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, vocab, codes, sizes = _row(left, ("ids", "vocab", "codes", "sizes"))
         parts = sorted(zip(right.column("n").to_pylist(), right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))

@@ -22,6 +22,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from recolith.llm.runtime import trimmed
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url_auth", "iban", "account", "ssn")
 #: Schemes and cues, in lower case.
@@ -142,6 +144,7 @@ def spell(spans: list[tuple[int, int, str]]) -> str:
 def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per text: counts of the base kinds, the digest of the base spans, and all spans."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
@@ -172,6 +175,7 @@ def mask(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
                 at = b
         return "".join(out) + text[at:]
 
+    @trimmed
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([hide(t) for t in batch.column(1).to_pylist()], pa.string())], [id_col, text_col])

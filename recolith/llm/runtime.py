@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import inspect
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-
+#: Rows in an Arrow batch, at most: batches of whole texts are held twice over, in the JVM's buffers and in Python.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Setting by which shuffle files go at the end of the execution that made them.
 FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -24,10 +30,52 @@ def scratch_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches hold BATCH_ROWS rows at most."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+def _give_back() -> None:
+    """Returns what Arrow and malloc hold but don't use; workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def trimmed(f):
+    """A function of mapInArrow or applyInArrow after whose task the worker gives unused memory back."""
+    if inspect.isgeneratorfunction(f):
+
+        @functools.wraps(f)
+        def run(batches):
+            try:
+                yield from f(batches)
+            finally:
+                _give_back()
+
+        return run
+
+    def call(*tables):
+        try:
+            return f(*tables)
+        finally:
+            _give_back()
+
+    def one(table: pa.Table) -> pa.Table:
+        return call(table)
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        return call(left, right)
+
+    return one if len(inspect.signature(f).parameters) == 1 else two
+
+
 class Scratch:
     """Writes intermediate tables as Parquet; survives lost executors because the folder is shared."""
 
     def __init__(self, spark: SparkSession):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{scratch_base(spark)}/recolith-{uuid.uuid4().hex}"
         self.n = 0
@@ -70,4 +118,5 @@ class Scratch:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
