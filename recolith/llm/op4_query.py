@@ -10,6 +10,8 @@ from recolith.llm.runtime import Scratch, table
 
 
 def op4_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark).path("wavelet")
-    write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return read_documents(spark, path, with_tokens=False)
+    scratch = Scratch(spark)
+    path = scratch.path("wavelet")
+    write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    scratch.paths.append(path)
+    return scratch.last(read_documents(spark, path, with_tokens=False), "read")

@@ -6,18 +6,23 @@ come before its ones, order kept). Each plane has a directory of ones before eve
 select is a binary search; access, counting and occurrence lookup read the planes only. The payload of a blob is
 compressed by the Parquet file that holds it, which lets any store that Spark writes to keep the shards.
 
-The library that the vocabulary belongs to encodes about 2.4 MB/s a core. The same vocabulary as ranks gives
-the same ids four times as fast; texts of characters on which the two regex engines were not compared (see
-COMPARED), or that hold the string of a special token, go to the tokenizers library itself.
-
-Defined results: a null or empty text has the end id only. Ids of documents are unique integers; rows that
-repeat an id keep an arbitrary but consistent order. Rows without an id are left out. Only the id and
-text columns are read, so other columns of any name do no harm. An empty table gives an empty file set and no rows. A document is never split over shards.
+The tokenizers library encodes every text. A text goes to it in pieces, cut where white space begins and between a letter
+or digit and a full stop, comma or the like: its byte-level pattern has no token across these places and looks at nothing
+before a token, so no piece depends on another, and the ids of a text are those of its pieces in order. Pieces
+that are one word of Latin letters, and so one token of that pattern, go straight to the library's model. A worker keeps
+the ids of up to 2 KNOWN short pieces, those of late use, so a word is not encoded again at each place; long texts are cut
+into parts of about PART characters first.
+
+Defined results: a null or empty text has the end id only. Ids of documents are integers; rows that repeat an id follow
+each other in the order of their texts (null first), and equal rows are alike. Rows without an id are left out. Only the
+id and text columns are read, so other columns of any name do no harm. An empty table gives an empty file set and no
+rows. A document is never split over shards, and a very long one has a shard of its own.
 """
 
 from __future__ import annotations
 
-import base64
+import json
+import os
 import re
 import struct
 import zlib
@@ -28,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recolith.llm.runtime import small_batches, trimmed
+
 MAGIC = b"RLWM1\0\0\0"
 BLOCK = 512
 SHARD_TOKENS = 1 << 22
-#: Texts of these characters alone are encoded by rank; tests hold every one of them against the other library.
-COMPARED = "\x00-ɏ‐-‧€"
+#: Pieces in each of a worker's two generations, the longest of them, and characters that are cut into pieces at once.
+KNOWN, LONG, PART = 1 << 18, 64, 1 << 18
 
 
 class Wavelet:
@@ -147,42 +154,88 @@ def build(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, width: i
     return b"".join(parts)
 
 
+_pieces = re.compile(r"\s*+(?:[^\s.,;:!?]++(?<=[A-Za-z0-9])(?=[.,;:!?])|\S++)|\s+").findall
+_edge = re.compile(r"(?<=\S)\s").search
+
+
+def _parts(text: str):
+    """A text in parts that end before white space that follows other characters."""
+    at = 0
+    while at < len(text):
+        m = _edge(text, at + PART) if len(text) - at > PART else None
+        to = m.start() if m else len(text)
+        yield text[at:to]
+        at = to
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: its own if printable, else from 256 up."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in own else next(rest)) for b in range(256)}
+
+
+class Known(dict):
+    """Ids, as bytes, of the pieces of late use; others are encoded when asked for."""
+
+    def __init__(self, full, whole: bool):
+        super().__init__()
+        self.full, self.whole, self.tokenize, self.letters, self.old = full, whole, full.model.tokenize, _byte_letters(), {}
+        self.space = self.letters[32]
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            spaced = piece[0] == " "
+            word = piece[1:] if spaced else piece
+            if self.whole or not word.isalpha() or not (word.isascii() or max(word) < "ɐ"):
+                ids = array("I", self.full.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
+            else:  # one token of the pattern: the model's own part
+                letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                made = self.tokenize(self.space + letters if spaced else letters)
+                ids = array("I", [t.id for t in made]).tobytes()
+        if len(piece) <= LONG:
+            if len(self) >= KNOWN:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class ByteBpe:
-    """Ids exactly as the tokenizers library gives them with add_special_tokens=False."""
+    """Ids exactly as the tokenizers library gives them for a whole text with add_special_tokens=False."""
 
-    def __init__(self, json_path: str, ranks_path: str | None, pattern: str | None):
+    def __init__(self, json_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tokenizers
 
         self.full = tokenizers.Tokenizer.from_file(json_path)
         self.size = self.full.get_vocab_size(with_added_tokens=True)
-        self.fast = None
-        if ranks_path and pattern:
-            import tiktoken
-
-            with open(ranks_path, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
-        self.uncompared = re.compile(f"[^{COMPARED}]").search
-
-    def other(self, text: str) -> bool:
-        """Whether a text needs the library itself."""
-        return any(s in text for s in self.special) or not text.isascii() and self.uncompared(text) is not None
+        added = self.full.get_added_tokens_decoder().values()
+        spaced = any(re.search(r"[\s.,;:!?]", t.content) or t.lstrip or t.rstrip for t in added)
+        made = json.loads(self.full.to_str())
+        before = made["pre_tokenizer"] or {}
+        plain = made["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        self.whole = spaced or not plain
+        self.known = Known(self.full, any(t.content.strip().isalpha() for t in added))
 
     def encode(self, text: str) -> np.ndarray:
-        ids = self.full.encode(text, add_special_tokens=False).ids if self.fast is None or self.other(text) else self.fast.encode_ordinary(text)
-        return np.frombuffer(array("I", ids), np.uint32) if ids else np.zeros(0, np.uint32)
+        if self.whole:  # another kind of tokenizer, whose tokens may cross the cuts
+            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
+        known = self.known.__getitem__
+        return np.frombuffer(b"".join([b"".join(map(known, _pieces(part))) for part in _parts(text)]), "<u4")
 
 
-_coders: dict[tuple, ByteBpe] = {}
+_coders: dict[str, ByteBpe] = {}
 
 
-def write(df: DataFrame, path: str, json_path: str, ranks_path: str | None = None, pattern: str | None = None, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
+def write(df: DataFrame, path: str, json_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
     """Writes the shards of a table of texts under ``path``, in ascending id order."""
-    key = (json_path, ranks_path, pattern)
+    small_batches(df.sparkSession)
 
+    @trimmed
     def run(batches):
-        coder = _coders.get(key) or _coders.setdefault(key, ByteBpe(*key))
+        coder = _coders.get(json_path) or _coders.setdefault(json_path, ByteBpe(json_path))
         width = max(coder.size - 1, end_id).bit_length()
         part, ids, tokens, held, shard, before = None, [], [], 0, 0, 0
 
@@ -212,7 +265,7 @@ def write(df: DataFrame, path: str, json_path: str, ranks_path: str | None = Non
             yield flush()
 
     rows = df.select(F.col(id_col).cast("bigint").alias("k"), F.col(text_col).cast("string").alias("t")).filter("k is not null")
-    ordered = rows.repartitionByRange("k").sortWithinPartitions("k").withColumn("p", F.spark_partition_id())
+    ordered = rows.repartitionByRange("k").sortWithinPartitions("k", "t").withColumn("p", F.spark_partition_id())
     ordered.mapInArrow(run, "part int, shard int, before bigint, n_tokens bigint, blob binary").write.option("parquet.block.size", 32 << 20).parquet(path)
 
 
@@ -230,6 +283,7 @@ def starts(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, with_tokens: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (of little-endian unsigned 32-bit ids) and, if wanted, the tokens."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -250,6 +304,7 @@ def read_documents(spark: SparkSession, path: str, with_tokens: bool = True) ->
 def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
     """(part, shard, n): occurrences of a token, from the planes only."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             n = [Wavelet(b).count(token) for b in batch.column("blob").to_pylist()]
