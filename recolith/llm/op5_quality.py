@@ -9,12 +9,15 @@ One toxicity labeller votes by terms that mark toxic rows in a table of labels,
 beginnings in at least MIN_TOXIC of its toxic texts, and RATIO times as often as in others. It votes yes if more
 of them occur in a text than their rate in other texts explains.
 
-Bounds, as parameters: LABELLED labelled rows and SAMPLE training rows are taken in order of a hash of the id.
+Bounds, as parameters: LABELLED labelled rows and SAMPLE training rows are taken in order of a hash of the id, ties by
+id; training ends before the row with which the sample's features would pass SAMPLE_FEATURES, which bounds its bytes.
 Everything else (votes, pattern counts, scores) covers all documents.
 
-Defined results: a null or empty text gets no vote against it, and stays. Ids are unique; a repeated row is
-scored like its twin. Only id and text columns are read here. An empty table gives an empty result, an empty or
-missing label table leaves that labeller without opinion. Long texts are read in pieces, whole.
+Defined results: a null or empty text gets no vote against it, and stays. A text is rejected if a score is 0.5 or more,
+a tie at 0.5 included. Scores depend on the text only: a repeated row is scored like its twin, and rows that share an id or have
+none are scored each (those without one train nothing). Only id and text columns are read here. An empty table gives an
+empty result, an empty or missing label table leaves that labeller without opinion. The label table's id column has the
+name of the texts', or ``doc_id``. Long texts are read in pieces, whole.
 """
 
 from __future__ import annotations
@@ -27,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recolith.llm.runtime import Scratch
+from recolith.llm.runtime import Scratch, trimmed
 from recolith.llm.text import NON_ALNUM, batches_of_words, ngrams, words_of
 
 SAMPLE = 20_000
 LABELLED = 20_000
+SAMPLE_FEATURES = 16_000_000
 MIN_TOXIC = 8
 RATIO = 4
 MAX_TERMS = 200
@@ -87,6 +91,7 @@ class Terms:
     rate: float = 0.0
     share: float | None = None
 
+    @trimmed
     def vote(self, beginnings: np.ndarray) -> int:
         if not len(self.hashes):
             return -1
@@ -201,14 +206,16 @@ def fit_scorer(rows: list[np.ndarray], want: np.ndarray) -> np.ndarray:
     return w
 
 
-def toxic_terms(docs: DataFrame, labels: DataFrame | None) -> Terms:
+def toxic_terms(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id") -> Terms:
     """Terms from at most LABELLED labelled texts."""
     if labels is None:
         return Terms(np.zeros(0, np.uint64))
-    some = labels.filter("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("bigint").alias("id"), (F.col("toxic") > 0).alias("toxic"))
+    own = F.col(id_col if id_col in labels.columns else "doc_id").cast("bigint")
+    some = labels.select(own.alias("id"), (F.col("toxic") > 0).alias("toxic")).filter("id is not null and toxic is not null")
     some = some.orderBy(F.xxhash64("id"), "id", "toxic").limit(LABELLED)
     rows = docs.join(F.broadcast(some), "id").select("id", "text", "toxic")
 
+    @trimmed
     def words(batches):
         for batch in batches:
             toxic = batch.column(2).to_numpy(zero_copy_only=False)
@@ -257,9 +264,10 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
     """Labellers and scorers fitted to a table of texts."""
     scratch = Scratch(df.sparkSession)
     docs = _inputs(df, id_col, text_col)
-    terms = toxic_terms(docs, labels)
+    terms = toxic_terms(docs, labels, id_col)
     q = len(QUALITY)
 
+    @trimmed
     def vote(batches):
         for batch in batches:
             votes = [votes_of(counts, h, p, terms) for _, counts, h, p in _texts(batch)]
@@ -276,6 +284,7 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
     picked = voted.filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
     train = docs.join(F.broadcast(picked.dropDuplicates(["id"])), "id").select("id", "text", "votes")
 
+    @trimmed
     def features(batches):
         for batch in batches:
             votes = batch.column(2).to_pylist()
@@ -283,6 +292,10 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(xs, pa.list_(pa.int32()))], ["id", "votes", "x"])
 
     sample = scratch.save(train.mapInArrow(features, "id bigint, votes array<tinyint>, x array<int>"), "sample")
+    order = sample.select("id", F.size("x").alias("n")).orderBy(F.xxhash64("id"), "id").toArrow()  # SAMPLE rows at most
+    taken = order.filter(pa.array(np.cumsum(order.column("n").to_numpy().astype(np.int64)) <= SAMPLE_FEATURES)).column("id")
+    if taken.num_chunks and len(taken) < order.num_rows:
+        sample = sample.join(F.broadcast(df.sparkSession.createDataFrame([(x,) for x in taken.to_pylist()], "id bigint")), "id")
     table = sample.orderBy("id").toArrow()
     votes = table.column("votes").to_pylist()
     rows = [x.values.to_numpy() for x in table.column("x").combine_chunks()]
@@ -297,6 +310,7 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
     names = ["votes", "p_poor", "p_toxic", "poor_score", "toxic_score", "keep"]
     kinds = [pa.list_(pa.int8()), *[pa.float64()] * 4, pa.bool_()]
 
+    @trimmed
     def score(batches):
         for batch in batches:
             rows = [shared.value.of(*x) for _, *x in _texts(batch)]
@@ -312,6 +326,7 @@ def clean(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     shared = df.sparkSession.sparkContext.broadcast(fit(df, labels, id_col, text_col))
     at = df.columns.index(text_col)
 
+    @trimmed
     def sift(batches):
         for batch in batches:
             pair = pa.RecordBatch.from_arrays([batch.column(at), batch.column(at).cast(pa.string())], ["id", "text"])
