@@ -1,17 +1,20 @@
 """Sharding by histogram sort.
 
-Rows are ordered by (hash of the text, id), so equal texts follow each other. Splitters are found without
+Rows are ordered by (hash of the text, id), so equal texts follow each other. The shards' splitters are found without
 sorting: in each round the open intervals of keys are cut into PROBES equal cells, bytes and rows below every
 cell boundary are counted exactly over all partitions, and the cells that hold a target are cut again, until the
 count below a boundary meets the target within its tolerance, or a cell holds one key. A hash value that many
 rows share is cut further by id. Then one exchange brings each row to its place: shards are the ranges between
-byte splitters; row splitters cut them into finer pieces, so no task has to hold a shard.
+splitters. Equal steps of the hash cut them into finer pieces, as hashes of texts are spread evenly, so no task has to
+hold a shard; a piece that groups of equal texts make too large is cut again by exact counts, OPEN of them at a
+time. So the driver holds PROBES cells for each of at most OPEN intervals, and a row for each piece.
 
 Law ``bytes``: size is the UTF-8 length of the text (null: 0) plus 1, and the shards' sizes differ from the mean
 by at most a row or TOLERANCE of the mean, whichever is larger. grown_shard is null, as this law does not fix it.
 
-Defined results: null texts sort with the empty text's hash or apart from it, by the same rule every time; ids
-are unique; rows that repeat an id and text take successive slots, rows without an id come first among equal texts. Only id and text columns are read; an
+Defined results: null texts lie together and apart from empty ones, which lie together too; rows that repeat an id and
+text take successive slots in any order, as they are equal; rows that share an id only are ordered by their texts' hashes; rows
+without an id come first among equal texts. Only id and text columns are read; an
 empty table gives an empty result; with fewer rows than shards some shards are empty.
 """
 
@@ -26,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recolith.llm.runtime import Scratch
+from recolith.llm.runtime import Scratch, trimmed
 
 SHARDS = 8
 PROBES = 4096
 TOLERANCE = 0.0005
-#: Rows and bytes in a piece of the exchange, and the most pieces.
-PIECE_ROWS, PIECE_BYTES, MAX_PIECES = 2_000_000, 256 << 20, 1 << 17
+#: Rows and bytes in a piece of the exchange, and the most pieces (a row of three numbers each).
+PIECE_ROWS, PIECE_BYTES, MAX_PIECES = 2_000_000, 256 << 20, 1 << 19
 MIN_PIECES = 32
+#: Intervals that are cut in one round.
+OPEN = 64
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
 
@@ -77,6 +82,7 @@ def _histogram(keys: DataFrame, intervals: list[Interval]) -> list:
     step = np.array([i.step for i in intervals], np.uint64)
     by_id = np.array([i.at is not None for i in intervals])
 
+    @trimmed
     def count(batches):
         for batch in batches:
             h, i, size = (batch.column(c).to_numpy() for c in ("h", "id", "size"))
@@ -98,7 +104,8 @@ def _histogram(keys: DataFrame, intervals: list[Interval]) -> list:
 def splitters(keys: DataFrame, targets: list[Target]) -> list[tuple[tuple[int, int], dict]]:
     """For each target a key (hash, id) such that about ``want`` of the measure lies below it, with exact counts below."""
     while open_ := [t for t in targets if t.found is None]:
-        intervals = sorted({t.interval for t in open_}, key=lambda i: (i.lo, LOWEST) if i.at is None else (i.at, i.lo))
+        intervals = sorted({t.interval for t in open_}, key=lambda i: (i.lo, LOWEST) if i.at is None else (i.at, i.lo))[:OPEN]
+        open_ = [t for t in open_ if t.interval in intervals]
         number = {i: k for k, i in enumerate(intervals)}
         sums: list[dict[str, list]] = [{"cell": [], "bytes": [0], "rows": [0]} for _ in intervals]
         for k, cell, size, n in _histogram(keys, intervals):
@@ -132,6 +139,39 @@ def _narrow(t: Target, i: Interval, sums: dict[str, list]) -> None:
         t.interval = Interval(lo, min(lo + i.step, i.hi), i.at)
 
 
+def _pieces(keys: DataFrame, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(rows, bytes) between the sorted cuts, by piece."""
+    hs, ids = np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts], np.int64)
+
+    @trimmed
+    def count(batches):
+        for batch in batches:
+            piece = _place(hs, ids, batch.column("h").to_numpy(), batch.column("id").to_numpy())
+            own, at = np.unique(piece, return_inverse=True)
+            sums = np.zeros(len(own), np.int64)
+            np.add.at(sums, at, batch.column("size").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.bincount(at, minlength=len(own))), pa.array(sums)], ["k", "n", "b"])
+
+    found = keys.select("h", "id", "size").mapInArrow(count, "k bigint, n bigint, b bigint")
+    sums = {r.k: (r.n, r.b) for r in found.groupBy("k").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).collect()}  # a row for each piece
+    return [sums.get(k, (0, 0)) for k in range(len(cuts) + 1)]
+
+
+def _finer(cuts: list[tuple[int, int]], sums: list[tuple[int, int]]) -> list[Target]:
+    """Targets inside the pieces that are more than twice as large as meant, counted from the piece's start."""
+    out = []
+    for (lo, first), (hi, end), (n, b) in zip([(LOWEST, LOWEST), *cuts], [*cuts, (HIGHEST, LOWEST)], sums, strict=True):
+        for measure, all_, most in (("rows", n, PIECE_ROWS), ("bytes", b, PIECE_BYTES)):
+            if all_ > 2 * most:
+                if lo == hi or first != LOWEST:  # within one hash value
+                    inside = Interval(first, end if lo == hi else HIGHEST, lo)
+                else:
+                    inside = Interval(lo, hi)
+                parts = -(-all_ // most)
+                out += [Target(measure, all_ * k / parts, all_ / parts * 0.2, inside, {"bytes": 0, "rows": 0}) for k in range(1, parts)]
+    return out
+
+
 def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """The id and the text, then size, shard and slot."""
     scratch = Scratch(df.sparkSession)
@@ -141,28 +181,29 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     keys = scratch.save(rows.select("h", "id", "size"), "keys")
     sums = keys.agg(F.sum("size").alias("b"), F.count("*").alias("n")).first()
     total, n = sums.b or 0, sums.n
+    targets = [Target("bytes", total * k / shards, total / shards * TOLERANCE, Interval(LOWEST, HIGHEST), {"bytes": 0, "rows": 0}) for k in range(1, shards)]
+    ends = sorted(x for x, _ in splitters(keys, targets)) if n else []
     pieces = min(MAX_PIECES, max(MIN_PIECES, -(-n // PIECE_ROWS), -(-total // PIECE_BYTES)))
-    half = pieces // 2
-    start = Interval(LOWEST, HIGHEST)
-    none = {"bytes": 0, "rows": 0}
-    by_bytes = [Target("bytes", total * k / shards, total / shards * TOLERANCE, start, dict(none)) for k in range(1, shards)]
-    by_rows = [Target(m, t * k / half, t / half * 0.2, start, dict(none)) for m, t in (("rows", n), ("bytes", total)) for k in range(1, half)]
-    found = splitters(keys, by_bytes + by_rows) if n else []
+    whole = {(h + d, LOWEST) for h, i in ends if i != LOWEST for d in (0, 1) if h < HIGHEST}  # around a hash value that is cut by id
+    cuts = sorted({*ends, *whole, *((LOWEST + (k << 64) // pieces, LOWEST) for k in range(1, pieces))})
+    held = _pieces(keys, cuts) if n else [(0, 0)] * (len(cuts) + 1)
+    if finer := _finer(cuts, held):
+        cuts = sorted({*cuts, *(x for x, _ in splitters(keys, finer))})
+        held = _pieces(keys, cuts)
     scratch.clear()
-    cuts = sorted(found, key=lambda x: x[0])
-    ends = sorted(x[0] for x in found[: shards - 1])
-    below = [0, *(x[1]["rows"] for x in cuts)]
-    of_shard = [bisect_right(ends, c) for c in [(LOWEST, LOWEST), *(x[0] for x in cuts)]]
-    start_of = {s: b for s, b in reversed(list(zip(of_shard, below, strict=True)))}
-    base = [start_of[s] for s in of_shard]
-    hs, ids = np.array([x[0][0] for x in cuts], np.int64), np.array([x[0][1] for x in cuts], np.int64)
+    of_shard = [bisect_right(ends, c) for c in [(LOWEST, LOWEST), *cuts]]
+    table, before = [], 0
+    for k, (s, (rows_in, _)) in enumerate(zip(of_shard, held, strict=True)):
+        before = before if k and of_shard[k - 1] == s else 0
+        table.append((k, s, before))
+        before += rows_in
+    hs, ids = np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts], np.int64)
 
     @F.pandas_udf("int")
     def piece(h: pd.Series, i: pd.Series) -> pd.Series:
         return pd.Series(_place(hs, ids, h.to_numpy(), i.to_numpy()).astype(np.int32))
 
     placed = rows.withColumn("piece", piece("h", "id"))
-    table = [(k, s, b - a) for k, (s, a, b) in enumerate(zip(of_shard, base, below, strict=True))]
     facts = F.broadcast(df.sparkSession.createDataFrame(table, "piece int, shard int, before bigint"))  # MAX_PIECES rows and SHARDS at most
     slot = F.row_number().over(Window.partitionBy("piece").orderBy("h", "id")) - 1
     where = placed.withColumn("n", slot).join(facts, "piece")
