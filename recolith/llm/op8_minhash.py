@@ -8,13 +8,14 @@ sketches lie more than about five standard deviations from what similarity 0.75
 
 Within a key no set of all pairs is made. First every member is tested against the key's smallest id, and
 components are formed from the links. Members of keys that then still hold several components meet by their
-rarest shingles (prefix filter, exact), only across components, and are paired only if odd sketches of the whole
-sets allow it (a lower bound of the true difference, so exact too). Every candidate pair is thus tested, connected
+rarest shingles (prefix filter, exact), only across components and within neighbouring bands of size, and are paired only if
+the places of the shingle in both sets and odd sketches of the whole sets allow it (bounds of the true overlap and
+difference, so exact too). Every candidate pair is thus tested, connected
 already, or proven too different. A pair at similarity 0.75 is missed with probability below 3e-7 (40 bands of 4).
 
-Defined results: null, empty or blank texts have an empty set (n_shingles 0) and link with nothing. Repeated
-rows of one id count as one document of that id and are returned once each; rows without an id are left out. Only the id and text columns are
-read. An empty table gives an empty result. Long texts are hashed in pieces of a megabyte.
+Defined results: null, empty or blank texts have an empty set (n_shingles 0) and link with nothing. Rows that repeat
+an id are one document, whose text is the greatest of theirs, and each of them is returned with its result; rows without an id
+are left out. Ties need nothing special: the smallest id of a group is kept. Only the id and text columns are read. An empty table gives an empty result. Long texts are hashed in pieces of a megabyte.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recolith.llm.components import components
-from recolith.llm.runtime import Scratch
+from recolith.llm.runtime import Scratch, trimmed
 from recolith.llm.text import MIX, SPACES, batches_of_words, mix64, ngrams
 
 WORDS = 5
@@ -87,6 +88,7 @@ def set_parity(sets: np.ndarray) -> np.ndarray:
 def _features(docs: DataFrame) -> DataFrame:
     """(id, n, s1, s2, bands, sketch): s1 and s2 identify the set."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             for lo, hi, h, at in batches_of_words(batch.column(1), SPACES):
@@ -117,6 +119,7 @@ def _features(docs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame) -> DataFrame:
     """(id, set): the sorted shingle hashes as bytes."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             for lo, hi, h, at in batches_of_words(batch.column(1), SPACES):
@@ -129,6 +132,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 def _confirm(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, sa, sb) whose full sets are similar enough."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             a, b = batch.column("sa"), batch.column("sb")
@@ -156,6 +160,7 @@ def _rarest(docs: DataFrame, unsure: DataFrame, size: DataFrame, scratch: Scratc
     either. Sets that have just a widespread passage in common share none of those. In the group of a shingle the
     members of the component of its smallest id don't meet each other."""
 
+    @trimmed
     def grams(batches):
         for batch in batches:
             for lo, hi, h, at in batches_of_words(batch.column(1), SPACES):
@@ -164,23 +169,28 @@ def _rarest(docs: DataFrame, unsure: DataFrame, size: DataFrame, scratch: Scratc
                 ids = batch.column(0).slice(lo, hi - lo).to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "n", "g"])
 
-    some = docs.join(unsure.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    some = docs.join(unsure.select(F.col("rep").alias("id")), "id", "left_semi")
     rows = scratch.save(some.select("id", "text").mapInArrow(grams, "rep bigint, n bigint, g bigint"), "grams")
     spread = scratch.save(rows.groupBy("g").agg(F.count("*").alias("df")), "spread")
     place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "g"))
     head = rows.join(spread, "g").withColumn("k", place).filter(F.col("k") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    head = scratch.save(head.filter("df > 1").select("g", "rep").join(unsure, "rep"), "head")
+    head = scratch.save(head.filter("df > 1").select("g", "rep", "k").join(unsure, "rep"), "head")
     first = head.groupBy("g").agg(F.min(F.struct("rep", "c")).alias("f"), F.min("c").alias("least"), F.max("c").alias("most"))
     first = scratch.save(first.filter("least <> most").select("g", F.col("f.c").alias("cf")), "heads")
     side = scratch.save(head.join(first, "g").join(size.withColumnRenamed("id", "rep"), "rep"), "sides")
     longs = range(SET_BITS // 64)
-    x = side.filter("c <> cf").select("g", F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("ka"), *[F.col("parity")[k].alias(f"pa{k}") for k in longs])
-    y = side.select(F.col("g").alias("gb"), F.col("rep").alias("b"), F.col("c").alias("cb"), "cf", F.col("n").alias("nb"), F.col("sketch").alias("kb"), *[F.col("parity")[k].alias(f"pb{k}") for k in longs])
+    # sizes of similar sets lie in the same band or in neighbouring ones
+    band = F.col("n") if percent == 100 else F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)))
+    near = F.explode(F.array(band - 1, band, band + 1))
+    x = side.filter("c <> cf").select("g", near.alias("band"), F.col("k").alias("ia"), F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("ka"), *[F.col("parity")[k].alias(f"pa{k}") for k in longs])
+    y = side.select(F.col("g").alias("gb"), band.alias("band_b"), F.col("k").alias("ib"), F.col("rep").alias("b"), F.col("c").alias("cb"), "cf", F.col("n").alias("nb"), F.col("sketch").alias("kb"), *[F.col("parity")[k].alias(f"pb{k}") for k in longs])
     once = (F.col("cb") == F.col("cf")) | (F.col("a") < F.col("b"))
     differing = sum((F.bit_count(F.col(f"pa{k}").bitwiseXOR(F.col(f"pb{k}"))) for k in longs), F.lit(0))
     # similar sets differ in (100 - percent) / (100 + percent) of the sum of their sizes at most
     close = (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")) & (differing * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (_differing("ka", "kb") <= MAX_BITS)
-    met = x.join(y, (F.col("g") == F.col("gb")) & (F.col("ca") != F.col("cb")) & once & close)
+    # a pair's first common shingle leaves room for enough others after it
+    close &= (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    met = x.join(y, (F.col("g") == F.col("gb")) & (F.col("band") == F.col("band_b")) & (F.col("ca") != F.col("cb")) & once & close)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -188,10 +198,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: id, n_shingles, component_id, kept."""
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    again = scratch.save(docs.groupBy("id").agg(F.count("*").alias("times")).filter("times > 1"), "again")
+    repeats = not again.isEmpty()
+    if repeats:
+        one = docs.join(again, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
+        docs = scratch.save(docs.join(again, "id", "left_anti").union(one), "documents")
     rows = scratch.save(_features(docs), "features")
     classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep"))
     classes = scratch.save(classes, "classes")
-    reps = rows.filter("n > 0").join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    reps = rows.filter("n > 0").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     reps = scratch.save(reps.select("id", "n", "bands", "sketch", "parity"), "reps")
     size = reps.select("id", "n", "sketch", "parity")
 
@@ -207,7 +222,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = scratch.save(_sets(docs.join(scratch.save(wanted, "wanted"), "id", "left_semi")).dropDuplicates(["id"]), "sets")
+        sets = scratch.save(_sets(docs.join(scratch.save(wanted, "wanted"), "id", "left_semi")), "sets")
         left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
         done = scratch.save(_confirm(left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"), percent), "links")
         return done
@@ -230,5 +245,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cls = classes.join(root.select(F.col("v").alias("rep"), "root"), "rep", "left").select("s1", "s2", F.coalesce("root", "rep").alias("component"))
     cls = scratch.save(cls, "class-roots")
     out = rows.select("id", "n", "s1", "s2").join(cls, ["s1", "s2"], "left")
+    if repeats:
+        out = out.join(again, "id", "left").withColumn("time", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1)))))
     component = F.coalesce("component", "id")
     return scratch.last(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept")))
