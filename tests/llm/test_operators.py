@@ -13,21 +13,25 @@ from pyspark.sql import functions as F
 
 from recolith.llm import (
     components as cc,
+    op1_query,
     op1_sentencepiece as op1,
     op2_lines as op2,
     op3_embeddings as op3,
+    op4_query,
     op4_wavelet as op4,
     op5_quality as op5,
+    op5_query,
     op6_query,
     op6_shard as op6,
     op7_backoff as op7,
     op8_minhash as op8,
     op9_pii as op9,
+    op9_query,
     op10_winnow as op10,
 )
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: A clashing name for every column an operator makes or uses inside.
 CLASH = ["id", "text2", "n", "h", "size", "piece", "kept", "start", "hash", "votes", "rep", "key", "__n", "label"]
 
@@ -171,6 +175,20 @@ def test_op2_runs_of_short_lines(spark):
     assert got == [rows[0][1], "other\nend", rows[2][1], rows[3][1]]
 
 
+def test_op2_ids_that_are_null_or_repeated(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+
+    def left(*rows):
+        out = op2.dedup(spark.createDataFrame(list(rows), "doc_id bigint, text string").repartition(3), counts=True)
+        return sorted(((r.doc_id, r.text, r.n_deleted) for r in out.collect()), key=str)
+
+    assert left((None, f"{a}\n{a}"), (None, f"p\n{b}")) == [(None, a, 1), (None, f"p\n{b}", 0)]
+    assert left((1, a), (1, a), (2, a)) == [(1, a, 0), (1, a, 0), (2, "", 1)]
+    assert left((None, a), (1, a)) == [(1, "", 1), (None, a, 0)]
+    one, two = sorted([f"{a}\n{b}", f"{b}\n{a}"], key=lambda t: spark.sql("SELECT xxhash64(:t)", {"t": t}).first()[0])
+    assert left((1, one), (1, two), (2, a)) == sorted([(1, one, 0), (1, "", 2), (2, "", 1)], key=str)
+
+
 def test_op3_by_definition(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(60, 8))
@@ -216,12 +234,32 @@ def test_op3_links_within_each_length(spark, monkeypatch, cell):
     assert all((got[i].n_links, got[i].component_id) == (len(link[i]), root[i]) for i in x) and all(link[i] for i in range(102))
 
 
+def test_op3_sizes_pairs_of_cells_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(op3, "CELL", 4)
+    monkeypatch.setattr(op3, "MAX_CELLS", 3)
+    monkeypatch.setattr(op3, "TILE", 7)
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(60, 4)), 3, axis=0) + rng.normal(size=(180, 4)) * 0.05
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    n = len(rows)
+    rows += [(n, (x[0] * 1e200).tolist(), 0), (n + 1, (x[1] * 1e-200).tolist(), 0), (n + 2, (x[2] * 5e-320).tolist(), 9), (0, x[0].tolist(), 0), (None, x[0].tolist(), 0)]
+    got = op3.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    y = np.concatenate([x, x[:2]])
+    u = y / np.linalg.norm(y, axis=1, keepdims=True)
+    link = (u @ u.T >= 0.98) & ~np.eye(len(y), dtype=bool)
+    root = list(range(len(y)))
+    for _ in y:
+        root = [min([root[i], *(root[j] for j in np.flatnonzero(link[i]))]) for i in range(len(y))]
+    assert len(got) == n + 4 and sum(r.vec_id == 0 for r in got) == 2
+    assert all((r.n_links, r.component_id) == (link[r.vec_id].sum(), root[r.vec_id]) for r in got if r.vec_id < n + 2)
+
+
 def test_op4_round_trip_and_wavelet(spark, docs, empty, tmp_path):
     import tokenizers
 
-    t = tokenizers.Tokenizer.from_file(BPE[0])
+    t = tokenizers.Tokenizer.from_file(BPE)
     path = str(tmp_path / "w")
-    op4.write(docs, path, *BPE, shard_tokens=5000)
+    op4.write(docs, path, BPE, shard_tokens=5000)
     rows, at = by_id(op4.read_documents(spark, path)), 0
     for k, text in sorted(TEXTS.items()):
         ids = t.encode(text or "", add_special_tokens=False).ids + [2]
@@ -230,7 +268,7 @@ def test_op4_round_trip_and_wavelet(spark, docs, empty, tmp_path):
         at += len(ids)
     total = Counter(x for r in rows.values() for x in r.tokens)
     assert op4.occurrences(spark, path, 2).agg(F.sum("n")).first()[0] == total[2]
-    op4.write(empty, str(tmp_path / "e"), *BPE)
+    op4.write(empty, str(tmp_path / "e"), BPE)
     assert op4.read_documents(spark, str(tmp_path / "e")).count() == 0
 
 
@@ -246,17 +284,43 @@ def test_op4_rank_select(n):
         w.locate(60000, 0)
 
 
-def test_op4_both_libraries_agree_on_compared_characters():
-    coder = op4.ByteBpe(*BPE)
-    for c in [*range(0x250), *range(0x2010, 0x2028), 0x20AC]:
-        text = f"a{chr(c)}b 1{chr(c)}2 {chr(c)} {chr(c) * 2}x  {chr(c)}'s\n{chr(c)} "
-        assert not coder.other(text)
+def test_op4_every_character_of_the_kept_words():
+    coder = op4.ByteBpe(BPE)
+    assert not coder.whole
+    for c in [*range(0x260), *range(0x2000, 0x2070), 0x20AC, 0x3000, 0x180E, 0x1F600]:
+        text = f"a{chr(c)}b 1{chr(c)}2 {chr(c)} {chr(c) * 2}x  {chr(c)}'s.{chr(c)},\n{chr(c)} {chr(c)}.a"
+        assert coder.encode(text).tolist() == coder.full.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("c", [" ", "\t", "\n", "a", "."])
+def test_op4_long_runs(c):
+    coder = op4.ByteBpe(BPE)
+    for text in (c * 300_000, f"x{c * 300_000}y", f"some words {c * 300_000} and more. " * 2):
         assert coder.encode(text).tolist() == coder.full.encode(text, add_special_tokens=False).ids
+    assert len(coder.encode(f"x{c * 5_000_000}y")) > 1000 and max(map(len, coder.known)) <= op4.LONG
+
+
+def test_op4_cuts_and_forgets(monkeypatch):
+    monkeypatch.setattr(op4, "KNOWN", 20)
+    monkeypatch.setattr(op4, "PART", 50)
+    coder, rng = op4.ByteBpe(BPE), random.Random(8)
+    for _ in range(50):
+        text = prose(rng, 90).replace("stone", "stone, a.b;c <|endoftext|>!")
+        assert coder.encode(text).tolist() == coder.full.encode(text, add_special_tokens=False).ids
+        assert len(coder.known) <= 20 and len(coder.known.old) <= 20
+
+
+def test_op4_repeated_ids(spark, tmp_path):
+    rows = [(1, "b"), (1, "a"), (1, None), (1, "a"), (0, "z"), (None, "gone")]
+    op4.write(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), str(tmp_path / "w"), BPE)
+    got = op4.read_documents(spark, str(tmp_path / "w")).orderBy("start").collect()
+    t = op4.ByteBpe(BPE)
+    assert [(r.doc_id, list(r.tokens)) for r in got] == [(k, [*t.encode(x or "").tolist(), 2]) for k, x in [(0, "z"), (1, None), (1, "a"), (1, "a"), (1, "b")]]
 
 
 def test_op4_equals_the_library():
-    coder, rng = op4.ByteBpe(*BPE), random.Random(6)
-    parts = [" ", " ", "  ", "\n", "\t", "a", "the", "'s", "'", "12", "!?", "é", "\xa0", "\x1c", "x1"]
+    coder, rng = op4.ByteBpe(BPE), random.Random(6)
+    parts = [" ", " ", "  ", "\n", "\t", "a", "the", "'s", "'", "12", "!?", ".", ",", "é", "\xa0", "\x1c", "x1", "<|endoftext|>"]
     for _ in range(20000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
         assert coder.encode(text).tolist() == coder.full.encode(text, add_special_tokens=False).ids, repr(text)
@@ -287,6 +351,92 @@ def test_op5_finds_poor_and_toxic(spark, docs, empty):
     assert op5.classify(empty).count() == 0
 
 
+def test_op5_expectation_maximisation_by_definition():
+    """The posteriors are those that Bayes' rule gives for a fixed point of the labellers' rates."""
+    rng = np.random.default_rng(4)
+    bad = rng.random(4000) < 0.12
+    yes, none = np.array([0.7, 0.6, 0.8]), np.array([0.3, 0.2, 0.4])
+    votes = np.where(rng.random((4000, 3)) < none, -1, np.where(bad[:, None], rng.random((4000, 3)) < yes, rng.random((4000, 3)) < 0.004).astype(int))
+    patterns = sorted(Counter(map(tuple, votes.tolist())).items())
+    got = op5.fit_labellers(patterns, ("a", "b", "c"), rounds=300)
+    post = [got[p] for p, _ in patterns]
+    n = [c for _, c in patterns]
+    prior = (sum(a * b for a, b in zip(n, post)) + 1) / (sum(n) + 10)
+    rate = [[], []]
+    for k in range(3):
+        for c, limits in ((0, (1e-6, op5.MAX_FALSE[0])), (1, (1e-6, 1 - 1e-6))):
+            w = [m * (q if c else 1 - q) for m, q in zip(n, post)]
+            said = sum(x for x, (p, _) in zip(w, patterns) if p[k] == 1) + op5.PRIOR[c, 0]
+            heard = sum(x for x, (p, _) in zip(w, patterns) if p[k] >= 0) + op5.PRIOR[c].sum()
+            rate[c].append(min(max(said / heard, limits[0]), limits[1]))
+    for (p, _), q in zip(patterns, post):
+        like = [1 - prior, prior]
+        for c in (0, 1):
+            for k, v in enumerate(p):
+                like[c] *= {1: rate[c][k], 0: 1 - rate[c][k], -1: 1}[v]
+        assert abs(like[1] / sum(like) - q) < 1e-6
+    sure = [got[tuple(v)] for v in votes.tolist()]
+    assert np.mean((np.array(sure) > 0.5) == bad) > 0.93
+
+
+def test_op5_scorer_by_definition():
+    """Weights of the blocked sums equal those of one pass over a dense matrix."""
+    rng, size = np.random.default_rng(5), op5.FEATURES + 1
+    rows = [np.concatenate([np.arange(10) * 3 + rng.integers(0, 3, 10), np.unique(rng.integers(64, 300, rng.integers(0, 40)))]).astype(np.int32) for _ in range(2300)]
+    want = rng.random(2300)
+    x = np.zeros((2300, 301))
+    for r, cols in enumerate(rows):
+        x[r, cols] = np.where(cols < op5.VOTE_FEATURES, 1, 1 / np.sqrt(max(1, len(cols) - 10)))
+    x[:, 300] = 1
+    w, seen = np.zeros(301), np.full(301, 1e-8)
+    for _ in range(op5.EPOCHS):
+        grad = 1e-6 * w + x.T @ (1 / (1 + np.exp(-(x @ w))) - want) / len(rows)
+        seen += grad * grad
+        w -= 0.3 * grad / np.sqrt(seen)
+    got = op5.fit_scorer(rows, want)
+    assert len(got) == size and np.allclose(np.append(got[:300], got[-1]), w, atol=1e-6) and not got[300:-1].any()
+
+
+def test_op5_query_by_definition(spark, tmp_path):
+    """Scores of the query are those of its fitted judge, text by text, over null, repeated and long texts."""
+    clean, poor, toxic = quality_rows()
+    rows = list(enumerate([*clean, *poor, *toxic, None, "", clean[0] * 300])) + [(0, clean[1]), (None, poor[0])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i >= 250)) for i in range(280)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
+    judge = op5.fit(docs, labels)
+    got = Counter((r.doc_id, round(r.poor_score, 6), round(r.toxic_score, 6), r.keep) for r in op5_query.op5_weak_labels(spark, str(tmp_path)).collect())
+    want = Counter()
+    for k, t in rows:
+        h = op5.words_of(t, op5.NON_ALNUM)
+        begin = np.array([op5.words_of(w.encode()[: op5.PREFIX], op5.NON_ALNUM)[0] for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))], np.uint64)
+        _, _, _, a, b, keep = judge.of(np.bincount(np.frombuffer((t or "").encode(), np.uint8), minlength=256), h, begin)
+        want[(k, round(a, 6), round(b, 6), keep)] += 1
+    assert got == want
+
+
+def test_queries_by_definition(spark, tmp_path):
+    """The thin queries of operators 1, 4 and 9 on hand-made documents."""
+    import sentencepiece
+    import tokenizers
+
+    texts = {k: t for k, t in TEXTS.items() if len(t or "") < 20000}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    sp, bpe, at = sentencepiece.SentencePieceProcessor(model_file=MODEL), tokenizers.Tokenizer.from_file(BPE), 0
+    one, four, nine = (by_id(q(spark, str(tmp_path))) for q in (op1_query.op1_sentencepiece, op4_query.op4_wavelet_matrix, op9_query.op9_pii))
+    assert len(one) == len(four) == len(nine) == len(texts)
+    for k, t in sorted(texts.items()):
+        ids = [*sp.encode(t or ""), sp.eos_id()]
+        assert (one[k].n_tokens, one[k].ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert one[k].decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+        ids = [*bpe.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (four[k].start, four[k].n_tokens, four[k].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+        base = plain_pii(t)
+        assert (nine[k].n_email, nine[k].n_ip, nine[k].n_card, nine[k].n_phone) == tuple(sum(x[2] == kind for x in base) for kind in op9.BASE)
+        assert nine[k].base_sha256 == hashlib.sha256(op9.spell(base).encode()).hexdigest()
+
+
 def test_op5_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -315,6 +465,34 @@ def test_op6_law(spark, docs, empty):
     assert op6.shard(empty).count() == 0
 
 
+def test_op6_equal_texts_and_large_pieces(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = ["hot " * 30] * 400 + [None] * 30 + [""] * 30 + [prose(rng, rng.randint(1, 30)) for _ in range(500)] * 2
+    rows = [(i // 2 if i < 200 else i, t) for i, t in enumerate(texts)] + [(None, "hot " * 30)] * 40
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    plain = sorted(map(tuple, op6.shard(df).collect()), key=str)
+    for limit in (("PIECE_ROWS", 25), ("PIECE_BYTES", 900)):
+        with monkeypatch.context() as m:
+            m.setattr(op6, *limit)
+            m.setattr(op6, "OPEN", 3)
+            m.setattr(op6, "PROBES", 16)
+            m.setattr(op6, "MIN_PIECES", 4)
+            out = op6.shard(df).collect()
+        assert Counter((r.doc_id, r.text) for r in out) == Counter(rows) and len(out) == len(plain)
+        at, slots, size = defaultdict(list), defaultdict(list), Counter()
+        for r in out:
+            slots[r.shard].append(r.slot)
+            at[r.text].append((r.shard, r.slot))
+            size[r.shard] += r["size"]
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        starts = np.cumsum([0, *(len(slots[k]) for k in range(8))])
+        for places in at.values():  # equal texts lie side by side, over shards too
+            flat = sorted(starts[a] + b for a, b in places)
+            assert flat[-1] - flat[0] == len(flat) - 1
+        mean, most = sum(size.values()) / 8, max(r["size"] for r in out)
+        assert all(abs(sum(size[k] for k in range(j)) - mean * j) <= most + mean * op6.TOLERANCE for j in range(1, 8))
+
+
 def test_op6_digests_come_from_the_shards(spark, tmp_path, monkeypatch):
     rows = [(1, "one"), (2, "é\n"), (3, None), (4, "")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -407,6 +585,24 @@ def test_op8_by_definition(spark, docs, empty, case):
         assert twice == len(TEXTS) + 12
 
 
+def test_op8_repeated_ids(spark):
+    rng = random.Random(12)
+    a, b = sorted(prose(rng, 40) for _ in range(2))
+    rows = [(1, a), (1, b), (1, None), (2, a), (3, b), (3, b), (4, a), (None, b)]
+    got = sorted(map(tuple, op8.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()))
+    n = [len(x) for x in shingle_sets({0: a, 1: b}).values()]
+    assert got == [(1, n[1], 1, True)] * 3 + [(2, n[0], 2, True)] + [(3, n[1], 1, False)] * 2 + [(4, n[0], 2, False)]
+
+
+def test_op8_many_short_texts_of_a_template(spark):
+    rng = random.Random(13)
+    texts = {k: f"dear reader of the {rng.choice('abcdefghij')} {rng.choice('klmnopq')} page {rng.choice('rstuv')} we thank you" + " again" * (k % 3) for k in range(300)}
+    sets = shingle_sets(texts)
+    root = groups(sets)
+    rows = by_id(op8.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")))
+    assert all((rows[k].n_shingles, rows[k].component_id) == (len(sets[k]), root[k]) for k in texts)
+
+
 def test_op8_set_sketch_is_a_lower_bound():
     rng = np.random.default_rng(0)
     for _ in range(50):
@@ -500,6 +696,18 @@ def test_op10_by_definition(spark, docs, empty):
     assert not any(r.contaminated for r in op10.decontaminate(docs, bench.limit(0)).collect())
 
 
+def test_op10_ids_of_any_kind(spark):
+    rng = random.Random(10)
+    a, b = prose(rng, 14), prose(rng, 14)
+    items = spark.createDataFrame([("x1", a), ("x1", b), ("y", a), (None, prose(rng, 12))], "item_id string, text string")
+    rows = [("d", a + " z"), ("d", a + " z"), ("d", "clean"), (None, "so " + b), (None, "clean too"), ("e", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").withColumn("of", F.lit(1)).withColumn("hash", F.lit(2))
+    got = Counter((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in op10.decontaminate(docs, items).collect())
+    assert got == Counter([("d", 15, 14, 2), ("d", 15, 14, 2), ("d", 1, 0, 0), (None, 15, 14, 1), (None, 2, 0, 0), ("e", 0, 0, 0)])
+    left = op10.clean(docs, items)
+    assert left.columns == docs.columns and Counter((r.doc_id, r.text) for r in left.collect()) == Counter([rows[2], rows[4], rows[5]])
+
+
 def test_rows_without_ids(spark, docs):
     df = docs.union(docs.filter("doc_id = 5").withColumn("doc_id", F.lit(None).cast("bigint"))).filter(F.coalesce(F.length("text"), F.lit(0)) < 20000)
     n = df.count()
