@@ -44,20 +44,22 @@ def threshold_sweep(entities: DataFrame, truth: DataFrame, scored: DataFrame) ->
     """(step, threshold, f05, precision, recall) for each of the STEPS thresholds.
 
     A pair counts at every step up to the last that its probability reaches, so pairs are first counted by (entity,
-    last step); running sums over the steps replace a product of pairs and thresholds."""
-    marked = scored.join(truth.select("s1_id", "target_id", F.lit(1).alias("hit")), ["s1_id", "target_id"], "left").join(entities.select("s1_id"), "s1_id", "left_semi")
-    grid = F.sequence(F.lit(0), F.lit(STEPS - 1))
-    last = F.size(F.filter(grid, lambda i: F.col("prob") >= threshold(i))) - 1
-    counts = marked.withColumn("last", last).filter("last >= 0").groupBy("s1_id", "last").agg(F.count("*").alias("n"), F.count("hit").alias("tp"))
-    truths = truth.groupBy("s1_id").agg(F.count("*").alias("n_true"))
-    base = entities.select("s1_id").join(truths, "s1_id", "left").fillna(0, ["n_true"])
+    last step); running sums over the steps replace a product of pairs and thresholds. Every entity also counts nothing at
+    the last step, so one window covers entities without pairs; the scored pairs are read once."""
+    # the last step by division, put right by one where rounding moved it
+    near = F.least(F.lit(STEPS - 1), F.greatest(F.lit(-1), F.floor((F.col("prob") - threshold(F.lit(0))) / (threshold(F.lit(1)) - threshold(F.lit(0)))).cast("int")))
+    up = (near < STEPS - 1) & (F.col("prob") >= threshold(near + 1))
+    last = F.when(up, near + 1).when((near >= 0) & (F.col("prob") < threshold(near)), near - 1).otherwise(near)
+    marked = scored.select("s1_id", "target_id", last.alias("last")).filter("last >= 0")
+    marked = marked.join(truth.select("s1_id", "target_id", F.lit(1).alias("hit")), ["s1_id", "target_id"], "left").join(entities.select("s1_id"), "s1_id", "left_semi")
+    nothing = entities.select("s1_id", F.lit(STEPS - 1).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("hit"))
+    counts = marked.select("s1_id", "last", F.lit(1).alias("n"), "hit").union(nothing).groupBy("s1_id", "last").agg(F.sum("n").alias("n"), F.coalesce(F.sum("hit"), F.lit(0)).alias("tp"))
     # between two steps at which an entity's counts change they are constant: one row for each such range
     w = Window.partitionBy("s1_id").orderBy(F.desc("last"))
     run = counts.withColumn("n_pred", F.sum("n").over(w)).withColumn("n_tp", F.sum("tp").over(w)).withColumn("from", F.coalesce(F.lead("last").over(w) + 1, F.lit(0)))
-    ranges = run.select("s1_id", "from", F.col("last").alias("to"), "n_pred", "n_tp")
-    top = counts.groupBy("s1_id").agg(F.max("last").alias("m"))
-    blank = base.select("s1_id").join(top, "s1_id", "left").select("s1_id", (F.coalesce("m", F.lit(-1)) + 1).alias("from"), F.lit(STEPS - 1).alias("to"), F.lit(0).alias("n_pred"), F.lit(0).alias("n_tp")).filter(F.col("from") <= F.col("to"))
-    values = ranges.unionByName(blank).join(base, "s1_id").withColumns(f05(F.col("n_true"), F.col("n_pred"), F.col("n_tp")))
+    truths = truth.groupBy("s1_id").agg(F.count("*").alias("n_true"))
+    values = run.select("s1_id", "from", F.col("last").alias("to"), "n_pred", "n_tp").join(truths, "s1_id", "left").fillna(0, ["n_true"])
+    values = values.withColumns(f05(F.col("n_true"), F.col("n_pred"), F.col("n_tp")))
     by_range = values.groupBy("from", "to").agg(*[F.sum(c).alias(c) for c in ("f05", "precision", "recall")], F.count("*").alias("n"))
     steps = by_range.select(F.explode(F.sequence("from", "to")).alias("step"), "f05", "precision", "recall", "n")
     out = steps.groupBy("step").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in ("f05", "precision", "recall")])
