@@ -52,14 +52,15 @@ def indexed(df: DataFrame, order: str = "load_seq") -> DataFrame:
 
 def tiered_top_k(references: DataFrame, index: DataFrame, k: int = TOP_K) -> DataFrame:
     """(s1_id, target_id, tier, rank): equal core first, then prefix, then postal, each in load order and cut at k
-    before duplicates go; a later tier only fills what earlier ones leave."""
+    before duplicates go; a later tier only fills what earlier ones leave. A reference has one key in each tier and takes
+    the first k targets of it, so targets are cut at k for each key before they are joined."""
     refs = references.withColumnRenamed("entity_id", "s1_id")
     tiers = []
     for tier, key in enumerate(("core", "pfx", "postal"), 1):
         a = refs.filter(F.col(key) != "").select("s1_id", "country", key)
+        order = Window.partitionBy("country", key).orderBy("load_seq", "target_id")
         b = index.filter(F.col(key) != "").select(F.col("entity_id").alias("target_id"), "country", key, "load_seq")
-        order = Window.partitionBy("s1_id").orderBy("load_seq", "target_id")
-        hits = a.join(b, ["country", key]).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
+        hits = a.join(b.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k), ["country", key])
         tiers.append(hits.select("s1_id", "target_id", "load_seq", F.lit(tier).alias("tier")))
     every = tiers[0].union(tiers[1]).union(tiers[2]).groupBy("s1_id", "target_id").agg(F.min("tier").alias("tier"), F.min("load_seq").alias("load_seq"))
     order = Window.partitionBy("s1_id").orderBy("tier", "load_seq", "target_id")
