@@ -5,36 +5,40 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recolith.lexicon import FEATURES
 from recolith.operators.evaluation import best_threshold, macro_f05, threshold_sweep
+from recolith.plans import boosting
 
 
 @dataclass
 class Settings:
-    """Trees, step, depth, share of rows and features, and the weight of positive pairs."""
+    """Trees, step, depth and leaves, least rows of a leaf, share of rows and features of a tree, the weight of positive
+    pairs, and the most pairs that a model is fitted to: beyond that, a uniform sample by hash."""
 
     trees: int = 200
     step: float = 0.05
     depth: int = 6
+    leaves: int = 31
+    least: int = 20
     rows: float = 1.0
     columns: str = "0.8"
     positive_weight: float = 5.0
     seed: int = 42
     folds: int = 3
+    sample: int = 200_000
 
 
 @dataclass
 class Bundle:
-    """Fold models with their calibrators, the threshold, and the feature list they were made for."""
+    """Fold models (trees, base margin, sigmoid), the threshold, and the feature list they were made for."""
 
-    models: list[tuple[PipelineModel, PipelineModel]]
+    models: list[dict]
     threshold: float = 0.5
     features: list[str] = field(default_factory=lambda: list(FEATURES))
 
@@ -54,49 +58,56 @@ def holdout(df: DataFrame, key: str, share: float = 0.2, seed: int = 42) -> Data
     return df.withColumn("is_test", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000)) < int(share * 1000))
 
 
-def _trees(s: Settings) -> GBTClassifier:
-    return GBTClassifier(featuresCol="x", labelCol="label", weightCol="w", maxIter=s.trees, stepSize=s.step, maxDepth=s.depth, subsamplingRate=s.rows, featureSubsetStrategy=s.columns, seed=s.seed)
+def check_classes(pairs: DataFrame) -> int:
+    """Both classes must be there; returns the number of pairs."""
+    row = pairs.agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
+    if not row.pos or not row.neg:
+        raise ValueError(f"training needs both classes, found {row.pos} positive and {row.neg} negative pairs")
+    return row.pos + row.neg
 
 
-def _vector(df: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FEATURES, outputCol="x").transform(df)
+def _fit_parts(pairs: DataFrame, parts, s: Settings) -> dict[int, Bundle]:
+    """A bundle for each number in the array column ``parts`` of the pairs: for each group fold trees on the others, and a
+    sigmoid on their margins of the fold. A task fits one model; only fitted models, of bounded size, reach the driver."""
+    if check_classes(pairs) > s.sample:
+        pairs = pairs.orderBy(F.xxhash64("s1_id", "target_id", F.lit(s.seed)), "s1_id", "target_id").limit(s.sample)
+    rows = pairs.select(F.explode(parts).alias("part"), fold("s1_id", s.folds, s.seed).alias("fold"), F.col("label").cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    rows = rows.select(F.explode(F.sequence(F.lit(0), F.lit(s.folds - 1))).alias("model"), "*")
 
+    def run(table: pa.Table) -> pa.Table:
+        part, k = table.column("part")[0].as_py(), table.column("model")[0].as_py()
+        x = np.stack([table.column(c).to_numpy() for c in FEATURES], axis=1)
+        y, own = table.column("label").to_numpy().astype(float), table.column("fold").to_numpy() == k
+        order = np.lexsort((*x.T, y, own))  # the rows' order must not depend on the shuffle
+        x, y, own = x[order], y[order], own[order]
+        trees, base = boosting.fit_trees(x[~own], y[~own], s)
+        a, b = boosting.fit_scale(boosting.margins(trees, base, x[own]), y[own])
+        return pa.table([pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([json.dumps({"trees": trees, "base": base, "a": a, "b": b})])], ["part", "model", "fit"])
 
-def check_classes(pairs: DataFrame) -> None:
-    """Both classes must be there."""
-    row = pairs.agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
-    if not row.pos or not row.neg:
-        raise ValueError(f"training needs both classes, found {row.pos} positive and {row.neg} negative pairs")
+    found: dict[int, Bundle] = {}
+    for r in sorted(rows.groupBy("part", "model").applyInArrow(run, "part int, model int, fit string").collect()):
+        found.setdefault(r.part, Bundle([])).models.append(json.loads(r.fit))
+    return found
 
 
 def fit(pairs: DataFrame, settings: Settings | None = None) -> Bundle:
-    """For each group fold trees on the others, and a sigmoid on their margins of the fold."""
-    s = settings or Settings()
-    check_classes(pairs)
-    data = _vector(pairs).withColumn("w", F.when(F.col("label") == 1, s.positive_weight).otherwise(1.0)).withColumn("fold", fold("s1_id", s.folds, s.seed)).persist()
-    models = []
-    margin = VectorAssembler(inputCols=["margin"], outputCol="m")
-    for k in range(s.folds):
-        trees = _trees(s).fit(data.filter(F.col("fold") != k))
-        rest = trees.transform(data.filter(F.col("fold") == k)).withColumn("margin", vector_to_array("rawPrediction")[1])
-        scale = LogisticRegression(featuresCol="m", labelCol="label", maxIter=50).fit(margin.transform(rest).select("m", "label"))
-        models.append((PipelineModel([trees]), PipelineModel([scale])))
-    data.unpersist()
-    return Bundle(models)
+    """A calibrated bundle of fold models."""
+    return _fit_parts(pairs, F.array(F.lit(0)), settings or Settings())[0]
 
 
 def predict(bundle: Bundle, pairs: DataFrame) -> DataFrame:
     """The pairs with prob, the mean of the calibrated models."""
-    keys = pairs.columns
-    out = _vector(pairs)
-    margin = VectorAssembler(inputCols=["margin"], outputCol="m")
-    names = []
-    for k, (trees, scale) in enumerate(bundle.models):
-        raw = trees.transform(out).withColumn("margin", vector_to_array("rawPrediction")[1]).drop("rawPrediction", "probability", "prediction")
-        done = scale.transform(margin.transform(raw)).withColumn(f"p{k}", vector_to_array("probability")[1])
-        out = done.drop("rawPrediction", "probability", "prediction", "m", "margin")
-        names.append(f"p{k}")
-    return out.withColumn("prob", sum((F.col(n) for n in names), F.lit(0.0)) / len(names)).select(*keys, "prob")
+    models, names = bundle.models, bundle.features
+
+    def run(features: pd.DataFrame) -> pd.Series:
+        x = features[names].to_numpy(float)
+        total = np.zeros(len(x))
+        for m in models:
+            total += 1 / (1 + np.exp(-np.clip(m["a"] * boosting.margins(m["trees"], m["base"], x) + m["b"], -500, 500)))
+        return pd.Series(total / len(models))
+
+    prob = F.pandas_udf(run, "double")(F.struct(*[F.col(c).cast("double").alias(c) for c in names]))
+    return pairs.withColumn("prob", prob)
 
 
 def tune(bundle: Bundle, entities: DataFrame, truth: DataFrame, scored: DataFrame) -> Bundle:
@@ -109,13 +120,13 @@ def cross_validate(pairs: DataFrame, entities: DataFrame, truth: DataFrame, sett
     """(fold, threshold, f05, precision, recall) for held-out groups, and mean and population deviation by ``summary``."""
     s = settings or Settings()
     spark: SparkSession = pairs.sparkSession
-    rows = []
+    rows, mine = [], fold("s1_id", k, s.seed + 1)
+    bundles = _fit_parts(pairs, F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != mine), s)
     for i in range(k):
-        mine = fold("s1_id", k, s.seed + 1) == i
-        model = fit(pairs.filter(~mine), s)
-        test = entities.filter(mine)
-        scored = predict(model, pairs.filter(mine)).select("s1_id", "target_id", "prob").persist()
-        real = truth.filter(mine)
+        model = bundles[i]
+        test = entities.filter(mine == i)
+        scored = predict(model, pairs.filter(mine == i)).select("s1_id", "target_id", "prob").persist()
+        real = truth.filter(mine == i)
         tune(model, test, real, scored)
         m = macro_f05(test, real, scored.filter(F.col("prob") >= model.threshold)).first()
         scored.unpersist()
@@ -129,26 +140,24 @@ def summary(folds: DataFrame) -> DataFrame:
 
 
 def importances(bundle: Bundle, n: int = 5) -> list[tuple[str, float]]:
-    """The n features that the trees use most."""
+    """The n features whose splits gain most, as shares."""
     total = [0.0] * len(bundle.features)
-    for trees, _ in bundle.models:
-        for i, v in enumerate(trees.stages[0].featureImportances.toArray()):
-            total[i] += v / len(bundle.models)
-    return sorted(zip(bundle.features, total, strict=True), key=lambda x: -x[1])[:n]
+    for m in bundle.models:
+        for t in m["trees"]:
+            for f, gain in zip(t["feature"], t["gain"], strict=True):
+                total[max(f, 0)] += gain
+    whole = sum(total) or 1.0
+    return sorted(zip(bundle.features, (v / whole for v in total), strict=True), key=lambda x: -x[1])[:n]
 
 
 def save(bundle: Bundle, spark: SparkSession, path: str) -> None:
-    for k, (trees, scale) in enumerate(bundle.models):
-        trees.write().overwrite().save(f"{path}/{k}/trees")
-        scale.write().overwrite().save(f"{path}/{k}/scale")
-    note = json.dumps({"models": len(bundle.models), "threshold": bundle.threshold, "features": bundle.features})
-    spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/note")
+    note = json.dumps({"models": bundle.models, "threshold": bundle.threshold, "features": bundle.features})
+    spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def load(spark: SparkSession, path: str) -> Bundle:
     """A stored bundle; one made for other features is refused."""
-    note = json.loads(spark.read.text(f"{path}/note").first().value)
+    note = json.loads(spark.read.text(path).first().value)
     if note["features"] != FEATURES:
         raise ValueError("the stored model was made for other features")
-    models = [(PipelineModel.load(f"{path}/{k}/trees"), PipelineModel.load(f"{path}/{k}/scale")) for k in range(note["models"])]
-    return Bundle(models, note["threshold"], note["features"])
+    return Bundle(note["models"], note["threshold"], note["features"])
