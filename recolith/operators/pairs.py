@@ -32,15 +32,22 @@ def distractors(references: DataFrame, targets: DataFrame, truth: DataFrame, can
     used = taken.groupBy("s1_id").agg(F.count("*").alias("used"))
     need = references.select(F.col("entity_id").alias("s1_id"), F.col("clean_country").alias("country")).join(negatives, "s1_id", "left").join(used, "s1_id", "left")
     need = need.withColumn("needed", per_reference - F.coalesce("neg", F.lit(0))).filter("needed > 0").withColumn("reach", F.col("needed") + F.coalesce("used", F.lit(0)))
-    most = need.agg(F.max("reach").alias("most"))
+    most = need.agg(F.max("reach").alias("most")).first().most or 0  # one number, so that each task keeps only so many rows of a country
     order = Window.partitionBy("clean_country").orderBy("load_seq", "entity_id")
-    pool = targets.withColumn("place", F.row_number().over(order)).crossJoin(F.broadcast(most)).filter(F.col("place") <= F.col("most"))  # most is one row
+    pool = targets.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     pool = pool.select(F.col("entity_id").alias("target_id"), F.col("clean_country").alias("country"), "place")
     open_ = need.join(pool, "country").filter(F.col("place") <= F.col("reach")).join(taken, ["s1_id", "target_id"], "left_anti")
     pick = Window.partitionBy("s1_id").orderBy("place", "target_id")
     return open_.withColumn("n", F.row_number().over(pick)).filter(F.col("n") <= F.col("needed")).select("s1_id", "target_id")
 
 
+def sampled_targets(targets: DataFrame, truth: DataFrame, n: int = 40_000, seed: int = 731) -> DataFrame:
+    """The true targets and a uniform sample of n of all, each id once: a pool to train on where all targets are too many."""
+    real = targets.join(truth.select(F.col("target_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+    some = targets.orderBy(F.xxhash64(F.col("entity_id"), F.lit(seed)), "entity_id").limit(n)
+    return real.select(targets.columns).unionByName(some).dropDuplicates(["entity_id"])
+
+
 def training_pairs(candidates: DataFrame, negatives: DataFrame, truth: DataFrame) -> DataFrame:
     """(s1_id, target_id, label): all candidates and the padding negatives."""
     every = candidates.select("s1_id", "target_id").union(negatives.select("s1_id", "target_id")).distinct()

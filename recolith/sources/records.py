@@ -70,13 +70,22 @@ def publish(spark: SparkSession, folder: str, path: str) -> None:
     fs.delete(Path(folder), True)
 
 
+def in_file_order(rows: DataFrame, references: DataFrame) -> DataFrame:
+    """Result rows in the order of the references' load_seq, or of their ids where there is none."""
+    if "load_seq" not in references.columns:
+        return rows.orderBy("source1_entity_id")
+    place = references.select(F.col("entity_id").alias("source1_entity_id"), F.col("load_seq").alias("__place"))
+    return rows.join(place, "source1_entity_id").orderBy("__place", "source1_entity_id").drop("__place")
+
+
 def write_results(references: DataFrame, ranked: DataFrame, matched: DataFrame, folder: str) -> tuple[str, str]:
-    """candidate_pairs and matching_results: one row per reference in order of its id, lists by rank, or empty."""
+    """candidate_pairs and matching_results: one row per reference, lists by rank, or empty; in the order of the references'
+    file where they have load_seq, else of their ids."""
     from recolith.operators.blocking import candidate_lists
 
-    pairs = candidate_lists(references, ranked).orderBy("source1_entity_id")
+    pairs = candidate_lists(references, ranked)
     hits = candidate_lists(references, ranked.join(matched.select("s1_id", "target_id"), ["s1_id", "target_id"], "left_semi"))
-    hits = hits.withColumnRenamed("candidate_entity_ids", "matched_entity_ids").orderBy("source1_entity_id")
-    write_tsv(pairs, f"{folder}/candidate_pairs")
-    write_tsv(hits, f"{folder}/matching_results")
+    hits = hits.withColumnRenamed("candidate_entity_ids", "matched_entity_ids")
+    write_tsv(in_file_order(pairs, references), f"{folder}/candidate_pairs")
+    write_tsv(in_file_order(hits, references), f"{folder}/matching_results")
     return f"{folder}/matching_results", f"{folder}/candidate_pairs"
