@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from recolith import lexicon as lx
-from recolith.queries import CUT
+from recolith.queries import CUT, SAMPLE_LIMIT
 from recolith.sources.view import FORMS, LANGUAGES
 
 
@@ -185,6 +185,29 @@ bad AS (
   UNION ALL SELECT 'V9_missing_row', s1 FROM line WHERE NOT tab
 )"""
 
+BROKEN = f"""{REC},
+raw AS (SELECT substr(source1_entity_id, 4, 8)::BIGINT AS n, source1_entity_id AS s1, CASE WHEN matched_entity_ids = '' THEN [] ELSE string_split(matched_entity_ids, ',') END AS ids FROM truth_table),
+item AS (SELECT s1, unnest(CASE WHEN n % 36 = 0 THEN list_append(ids, 'S3-none') ELSE ids END) AS id FROM raw),
+broken AS (
+  SELECT 'V4_duplicate_row' AS rule, 'error' AS severity, s1 AS x FROM raw WHERE n % 30 = 0
+  UNION ALL SELECT 'V8_unknown_id', 'error', id FROM item WHERE id = 'S3-none'
+  UNION ALL SELECT 'V10_extra_row', 'error', 'S1-x' || n FROM raw WHERE n % 45 = 0
+  UNION ALL SELECT 'V11_not_candidate', 'warning', s1 FROM item WHERE id = 'S3-none'
+)"""
+#: Letters of a are matched, in order, to the first free equal letter of b within reach.
+JARO = f"""RECURSIVE {RANKED},
+p AS (SELECT entity_id AS id, core_name AS co FROM clean),
+couple AS (SELECT s1_id, target_id, a.co AS a, b.co AS b FROM ranked JOIN p a ON s1_id = a.id JOIN p b ON target_id = b.id),
+walk AS (
+  SELECT DISTINCT a, b, greatest(0, greatest(length(a), length(b)) // 2 - 1) AS reach, 0 AS i, []::BIGINT[] AS taken, '' AS letters FROM couple WHERE a <> b AND a <> '' AND b <> ''
+  UNION ALL SELECT a, b, reach, i + 1, CASE WHEN j IS NULL THEN taken ELSE list_append(taken, j) END, letters || CASE WHEN j IS NULL THEN '' ELSE substr(a, i + 1, 1) END
+  FROM (SELECT *, list_min(list_filter(range(greatest(1, i + 1 - reach), least(length(b), i + 1 + reach) + 1), lambda k: substr(b, k, 1) = substr(a, i + 1, 1) AND NOT list_contains(taken, k))) AS j FROM walk WHERE i < length(a))
+),
+met AS (SELECT a, b, len(taken)::DOUBLE AS m, len(list_filter(range(1, len(taken) + 1), lambda k: substr(letters, k, 1) <> substr(b, list_sort(taken)[k], 1))) / 2.0::DOUBLE AS moved FROM walk WHERE i = length(a)),
+jaro AS (SELECT a, b, CASE WHEN m = 0 THEN 0.0 ELSE (m / length(a) + m / length(b) + (m - moved) / m) / 3 END::DOUBLE AS j,
+  len(list_filter([1, 2, 3, 4], lambda k: least(length(a), length(b)) >= k AND substr(a, 1, k) = substr(b, 1, k))) AS prefix FROM met),
+winkler AS (SELECT s1_id, target_id, CASE WHEN a = b THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN j = 0 THEN 0.0 ELSE j + prefix * 0.1::DOUBLE * (1 - j) END::DOUBLE AS jw FROM couple LEFT JOIN jaro USING (a, b))"""
+
 
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
@@ -230,6 +253,7 @@ ORACLES: dict[str, str] = {
     "prefix_filter": _with(REC, "SELECT entity_id FROM rec WHERE entity_id LIKE 'S2-%' OR entity_id LIKE 'S3-%'"),
     "blank_filter": _with(REC, "SELECT entity_id FROM rec WHERE trim(country) = ''"),
     "length_filter": _with(REC, "SELECT entity_id, length(business_name) AS n FROM rec WHERE length(business_name) <= 1 OR length(business_name) > 40"),
+    "length_filter_address": _with(REC, "SELECT entity_id, length(business_address) AS n FROM rec WHERE length(business_address) <= 1 OR length(business_address) > 30"),
     "membership_filters": _with(REC, "SELECT entity_id, CASE WHEN entity_id IN (SELECT target_id FROM truth) THEN 'true' ELSE 'other' END AS kind FROM rec WHERE entity_id NOT LIKE 'S1-%'"),
     "blocking_keys": _with(KEYS, "SELECT * FROM keys"),
     "key_histogram": _with(KEYS, "SELECT country, key_type, count(*) AS n, count(DISTINCT key) AS n_keys FROM keys GROUP BY ALL"),
@@ -259,6 +283,7 @@ ORACLES: dict[str, str] = {
     "postal_match": _feature("feat_postal_exact_match"),
     "number_overlap": _feature("feat_number_overlap_ratio"),
     "pair_features_native": _feature(*_native),
+    "jaro_winkler": _with(JARO, "SELECT s1_id, target_id, round(jw, 6) AS feat_name_jaro_winkler FROM winkler"),
     "f05_per_entity": _with(PER, "SELECT s1_id, n_true, n_pred, n_tp, round(f05, 6) AS f05, round(precision, 6) AS precision, round(recall, 6) AS recall FROM per"),
     "macro_f05": _with(PER, "SELECT round(avg(f05), 6) AS f05, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall FROM per"),
     "threshold_sweep": _with(SWEEP, "SELECT step, round(threshold, 6) AS threshold, round(f05, 6) AS f05, round(precision, 6) AS precision, round(recall, 6) AS recall FROM sweep"),
@@ -298,5 +323,17 @@ ORACLES: dict[str, str] = {
     ),
     "validation_report": _with(LINES, "SELECT 'matching' AS file, rule, 'error' AS severity, count(DISTINCT x) AS n, array_to_string(list_sort(list(DISTINCT x))[1:5], ',') AS examples FROM bad GROUP BY rule"),
     "schema_audit": _with(LINES, "SELECT true AS header_ok, 2::BIGINT AS n_columns, count(*) AS n_rows, count(*) FILTER (NOT tab) AS n_ragged, array_to_string(list_sort(list(line_no) FILTER (NOT tab))[1:5], ',') AS first_ragged FROM line"),
+    "validation_rules": _with(
+        BROKEN,
+        "SELECT 'rows' AS case, 'matching' AS file, rule, severity, count(DISTINCT x) AS n, array_to_string(list_sort(list(DISTINCT x))[1:5], ',') AS examples FROM broken GROUP BY ALL "
+        "UNION ALL SELECT 'comma', 'matching', 'V2_comma_separated', 'error', 1, 'a,b' UNION ALL SELECT 'comma', 'candidate', 'V11_no_candidate_file', 'warning', 1, '' "
+        "UNION ALL SELECT 'labels', 'matching', 'V2_header', 'error', 1, 'source1_entity_id' || chr(9) || 'wrong_entity_ids' "
+        "UNION ALL SELECT 'empty', 'matching', 'V1_empty_file', 'error', 1, '' UNION ALL SELECT 'empty', 'candidate', 'V11_no_candidate_file', 'warning', 1, ''",
+    ),
+    "sample_limit": _with(
+        RANKED,
+        f"SELECT * FROM ranked WHERE s1_id IN (SELECT entity_id FROM clean WHERE entity_id LIKE 'S1-%' ORDER BY clean_country, entity_id LIMIT {SAMPLE_LIMIT})",
+    ),
+    "group_folds_hashed": _with(RANKED, "SELECT count(*) AS n_pairs, count(DISTINCT s1_id) AS n_groups, 1::BIGINT AS most_folds, true AS all_folds FROM ranked"),
     "group_folds": _with(RANKED, "SELECT substr(s1_id, 4, 8)::BIGINT % 5 AS fold, count(*) AS n, count(DISTINCT s1_id) AS n_groups FROM ranked GROUP BY 1"),
 }

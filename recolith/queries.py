@@ -17,6 +17,8 @@ QUERIES: dict[str, Query] = {}
 #: Folds of the cross-validation query, as in the reference.
 FOLDS = 5
 CUT = 0.55
+#: References of the limited prediction, which is that query's feature.
+SAMPLE_LIMIT = 100
 
 
 def query(f: Query) -> Query:
@@ -127,6 +129,12 @@ def length_filter(spark, sf_dir):
     return Base(spark, sf_dir).rows.filter((n <= 1) | (n > 40)).select("entity_id", n.cast("bigint").alias("n"))
 
 
+@query
+def length_filter_address(spark, sf_dir):
+    n = F.length("business_address")
+    return Base(spark, sf_dir).rows.filter((n <= 1) | (n > 30)).select("entity_id", n.cast("bigint").alias("n"))
+
+
 @query
 def membership_filters(spark, sf_dir):
     b = Base(spark, sf_dir)
@@ -360,6 +368,12 @@ def _lines(df: DataFrame, second: str) -> DataFrame:
     return df.select((n + 2).alias("line_no"), value.alias("value")).union(head)
 
 
+def _plain_lines(df: DataFrame) -> DataFrame:
+    """Result rows as raw lines, numbered by id, without a header."""
+    a, b = df.columns
+    return df.select((F.substring(a, 4, 8).cast("bigint") + 2).alias("line_no"), F.concat(a, F.lit("\t"), b).alias("value"))
+
+
 @query
 def validation_report(spark, sf_dir):
     b = Base(spark, sf_dir)
@@ -375,6 +389,38 @@ def validation_report_both(spark, sf_dir):
     return validation.validation_report(matches, candidates, b.refs, b.targets)
 
 
+@query
+def validation_rules(spark, sf_dir):
+    """Files broken in every way that the other report's are not: repeated, surplus and unknown rows, and bad headers."""
+    b = Base(spark, sf_dir)
+    table = view.truth_table(b.rows).select("source1_entity_id", F.substring("source1_entity_id", 4, 8).cast("bigint").alias("n"), F.col("matched_entity_ids").alias("m"))
+    unknown = F.when(F.col("n") % 36 == 0, F.concat(F.col("m"), F.when(F.col("m") == "", "").otherwise(","), F.lit("S3-none"))).otherwise(F.col("m"))
+    value = F.concat("source1_entity_id", F.lit("\t"), unknown)
+    body = table.select((F.col("n") + 2).alias("line_no"), value.alias("value"))
+    again = table.filter("n % 30 = 0").select((F.col("n") + 1_000_000_000).alias("line_no"), value.alias("value"))
+    extra = table.filter("n % 45 = 0").select((F.col("n") + 2_000_000_000).alias("line_no"), F.concat(F.lit("S1-x"), "n", F.lit("\t")).alias("value"))
+    head = "source1_entity_id\t{}_entity_ids"
+
+    def file(first: str, *parts: DataFrame) -> DataFrame:
+        out = spark.createDataFrame([(1, first)], "line_no bigint, value string")
+        for p in parts:
+            out = out.union(p)
+        return out
+
+    good = file(head.format("candidate"), _plain_lines(view.truth_table(b.rows)))
+    cases = {
+        "rows": (file(head.format("matched"), body, again, extra), good),
+        "comma": (file("a,b"), None),
+        "labels": (file(head.format("wrong")), good),
+        "empty": (file("").limit(0), None),
+    }
+    out = None
+    for name, (matches, candidates) in cases.items():
+        found = validation.validation_report(matches, candidates, b.refs, b.targets).select(F.lit(name).alias("case"), "*")
+        out = found if out is None else out.union(found)
+    return out
+
+
 @query
 def schema_audit(spark, sf_dir):
     lines = _lines(view.truth_table(Base(spark, sf_dir).rows), "matched_entity_ids")
@@ -389,6 +435,25 @@ def group_folds(spark, sf_dir):
     return ranked.groupBy("fold").agg(F.count("*").alias("n"), F.countDistinct("s1_id").alias("n_groups"))
 
 
+@query
+def group_folds_hashed(spark, sf_dir):
+    folds = Base(spark, sf_dir).ranked.withColumn("fold", model.fold("s1_id", FOLDS))
+    groups = folds.groupBy("s1_id").agg(F.count("*").alias("n"), F.countDistinct("fold").alias("folds"), F.max("fold").alias("fold"))
+    return groups.agg(F.sum("n").alias("n_pairs"), F.count("*").alias("n_groups"), F.max("folds").alias("most_folds"), (F.countDistinct("fold") == FOLDS).alias("all_folds"))
+
+
+@query
+def sample_limit(spark, sf_dir):
+    b = Base(spark, sf_dir)
+    return _long(linkage.candidates(b.refs, b.targets, sample_limit=SAMPLE_LIMIT), "rank")
+
+
+@query
+def sampled_targets(spark, sf_dir):
+    b = Base(spark, sf_dir)
+    return pairs.sampled_targets(b.targets, b.truth).select("entity_id")
+
+
 @query
 def sample_s1(spark, sf_dir):
     return model.sample(Base(spark, sf_dir).entities, "s1_id", 100)
