@@ -9,7 +9,7 @@ from recolith.functions import similarity as sim
 from recolith.functions.cleaning import clean_records
 from recolith.operators import audit, blocking, evaluation, keys, pairs, sets, validation
 from recolith.__main__ import main
-from recolith.plans import benchmark, linkage, model, report
+from recolith.plans import benchmark, boosting, linkage, model, report
 from recolith.queries import QUERIES
 from recolith.sources import fixtures, records
 from recolith.streaming.records import rank_stream
@@ -201,6 +201,15 @@ def test_commands(spark, tmp_path, capsys):
     text = (tmp_path / "matching_results.tsv").read_text()
     assert text.count("\n") == 11 and text.startswith("source1_entity_id\tmatched_entity_ids\n")
     assert main(["validate", folder, "--check-ids"]) == 0
+    ids = [line.split("\t")[0] for line in text.splitlines()[1:]]
+    assert ids == [line.split("\t")[0] for line in (tmp_path / "test_source1.tsv").read_text().splitlines()[1:]]
+    capsys.readouterr()
+    assert main(["package", folder, "--team", "The Team"]) == 0 and (tmp_path / "the_team.zip").exists()
+    (tmp_path / ".matching_results.tsv.crc").unlink(missing_ok=True)
+    (tmp_path / "matching_results.tsv").write_text("broken\n")
+    assert main(["package", folder, "--team", "x"]) == 1 and main(["package", folder, "--team", "x", "--skip-validation"]) == 0
+    assert main(["cv", folder, "--trees", "3", "--folds", "2"]) == 0 and "mean_f05" in capsys.readouterr().out
+    assert main(["demo", str(tmp_path / "demo"), "--trees", "3", "--threshold", "0.1"]) == 0
 
 
 def lines(spark, *text):
@@ -279,6 +288,51 @@ def test_model(spark, data, tmp_path):
         model.fit(features.filter("label = 1"), settings)
 
 
+def test_trees_learn_and_stop(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = rng.random((600, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    s = model.Settings(trees=60, positive_weight=1.0, columns="1.0")
+    trees, base = boosting.fit_trees(x[:400], y[:400], s)
+    assert len(trees) == 60 and all(len(t["feature"]) <= 2 * s.leaves - 1 for t in trees)
+    got = boosting.margins(trees, base, x[400:]) > 0
+    assert (got == (y[400:] > 0)).mean() > 0.93
+    a, b = boosting.fit_scale(boosting.margins(trees, base, x[400:]), y[400:])
+    assert a > 0 and abs((1 / (1 + np.exp(-(a * boosting.margins(trees, base, x[400:]) + b)))).mean() - y[400:].mean()) < 0.01
+    t = trees[0]  # a tree's split gains what its two sides gain, by definition
+    p = 1 / (1 + np.exp(-base))
+    g, h, down = p - y[:400], np.full(400, p * (1 - p)), x[:400, t["feature"][0]] <= t["limit"][0]
+    score = lambda w: g[w].sum() ** 2 / h[w].sum()
+    assert np.isclose(t["gain"][0], score(down) + score(~down) - score(down | True))
+    assert boosting.fit_trees(x, np.ones(600), s)[0] == [] and boosting.fit_scale(np.zeros(3), np.ones(3)) == (1.0, 0.0)
+
+
+def test_sampled_training(spark, data):
+    refs, targets, truth = data
+    real = pairs.truth_pairs(truth)
+    a, b, c = linkage.training_sample(refs, targets, real, n_references=4, n_targets=3)
+    ids = {r.entity_id for r in a.collect()}
+    assert len(ids) == 4 and {r.s1_id for r in c.collect()} == ids & {r.s1_id for r in real.collect()}
+    mine, pool = {r.target_id for r in c.collect()}, [r.entity_id for r in b.collect()]
+    assert mine <= set(pool) and len(pool) == len(set(pool)) and 0 <= len(set(pool) - mine) <= 3
+    assert {r.entity_id for r in linkage.training_sample(refs, targets, real, 4, 3)[1].collect()} == set(pool)
+    first = linkage.first_references(refs, 3).orderBy("clean_country", "entity_id").collect()
+    want = refs.orderBy("clean_country", "entity_id").limit(3).collect()
+    assert [r.entity_id for r in first] == [r.entity_id for r in want] and linkage.candidates(refs, targets, sample_limit=3).select("s1_id").distinct().count() <= 3
+
+
+def test_tiers_cut_before_the_join(spark):
+    rows = [(f"S2-{i:03d}", i, "US", "acme", "acme", "") for i in range(60)]
+    index = spark.createDataFrame(rows, "entity_id string, load_seq long, country string, core string, pfx string, postal string")
+    refs = index.limit(1).withColumn("entity_id", F.lit("S1-1"))
+    got = [r.target_id for r in blocking.tiered_top_k(refs, index, 5).orderBy("rank").collect()]
+    assert got == [f"S2-{i:03d}" for i in range(5)]
+    plan = blocking.tiered_top_k(refs, index, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
 def test_model_queries_run_the_whole_model(spark, tmp_path, monkeypatch):
     rows = [(i, f"one two three four {i % 4}", "en") for i in range(12)]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
