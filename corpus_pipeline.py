@@ -37,7 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share an id stay or go together, by the document that op8 takes for that id; rows without an id stay."""
     scratch = Scratch(spark)
     found = op8_minhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.filter("not kept").select("doc_id")
+    gone = scratch.save(found.filter("not kept").select("doc_id"), "gone")  # its own table, so the planner knows its size
     again = scratch.save(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "again")
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     if again.isEmpty():
