@@ -9,11 +9,13 @@ n counts n-grams in all documents but the one scored, N words likewise; at the s
 context that exists is used, and each shorter one costs 0.4 only when a longer one was tried. The score is the
 sum of natural logarithms over the words, lower-cased runs of non-space.
 
-Documents are coded in chunks (local word numbers and the words' hashes) and kept in the shared folder. A chunk's
-distinct n-grams, with counts, go to the bucket of their hash, where the count table of that bucket is made by
-summing over chunks; the totals return to the chunks, are joined to the n-grams of their documents, less the
+Documents are coded in chunks (local word numbers and the words' hashes) and kept in the shared folder. One order of
+n-grams after another, a chunk's distinct n-grams, with counts, go in 256 pieces, by the first byte of their hash, to the count
+table, where equal n-grams are summed; the totals return to the chunks, are joined to the n-grams of their documents, less the
 document's own, and summed per document. A frequent n-gram is one entry per chunk, whatever its number of
-occurrences, and the number of buckets follows the number of entries, so no group grows with the corpus.
+occurrences. More than FAN chunks are summed in groups of about FAN first, each group's table goes on like a chunk, cut by the next
+byte, and so on until one group is left, and the totals come back the same way. So a chunk or group always sends 256
+pieces, a task sums the pieces of about FAN, and both the number of pieces and their bytes grow in proportion to the corpus.
 
 Defined results: null and empty texts have no words and score 0. Ids are unique; rows that repeat an id count as
 documents of their own, rows without an id are left out. With a single document all words are unseen. Only id and text columns are read. An empty
@@ -22,6 +24,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +37,8 @@ from recolith.llm.text import MIX, SPACES, batches_of_words, mix64
 ORDER = 3
 BACKOFF = 0.4
 CHUNK_WORDS = 2_000_000
-BUCKET_ENTRIES = 1_500_000
+#: Chunks or groups whose pieces one task sums, on average.
+FAN = 128
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
@@ -87,12 +92,6 @@ def _grams(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, n: int) -> t
     return distinct, counts, places
 
 
-def _cuts(distinct: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the sorted hashes of each bucket begin, and the end."""
-    edges = np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
-    return np.append(np.searchsorted(distinct, edges), len(distinct))
-
-
 def _pack(sorted_hashes: np.ndarray) -> bytes:
     """Bytes of a difference, first value, then differences in so many bytes each."""
     gaps = np.diff(sorted_hashes)
@@ -161,47 +160,98 @@ def score_chunk(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, totals:
     return np.bincount(doc, weights=np.log(s), minlength=len(sizes))
 
 
+_PIECE = "owner string, g bigint, r string, grams binary, counts binary"
+
+
+def _pieces(owner: str, g: int, r: str, distinct: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Pieces (owner, group, hash bytes in hexadecimal, n-grams, counts) of a sorted table whose hashes begin with r."""
+    byte = distinct >> np.uint64(56 - 4 * len(r)) & np.uint64(255)
+    cut = np.searchsorted(byte, np.arange(257, dtype=np.uint64))
+    some = np.flatnonzero(np.diff(cut))
+    parts = [slice(cut[b], cut[b + 1]) for b in some]
+    columns = [pa.array([owner] * len(some), pa.string()), pa.array([g] * len(some), pa.int64()), pa.array([f"{r}{b:02x}" for b in some], pa.string())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([_pack(distinct[x]) for x in parts], pa.binary()), pa.array([_pack_counts(counts[x]) for x in parts], pa.binary())], ["owner", "g", "r", "grams", "counts"])
+
+
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(sorted distinct n-grams, sums, for each piece the places of its n-grams)."""
+    grams = [_unpack(x) for x in table.column("grams").to_pylist()]
+    counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
+    distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, inverse, counts)
+    return distinct, sums, np.split(inverse, np.cumsum([len(x) for x in grams])[:-1])
+
+
+def _totals(pieces: DataFrame, groups: int, scratch: Scratch) -> DataFrame:
+    """(owner, r, totals): for each piece the sums, over all owners, of its n-grams; g of the pieces is below ``groups``."""
+    if groups == 1:
+
+        @trimmed
+        def total(table: pa.Table) -> pa.Table:
+            _, sums, places = _summed(table)
+            return pa.table([table.column("owner"), table.column("r"), pa.array([_pack_counts(sums[x]) for x in places], pa.binary())], ["owner", "r", "totals"])
+
+        return scratch.save(pieces.groupBy("r").applyInArrow(total, "owner string, r string, totals binary"), "totals")
+
+    @trimmed
+    def merge(table: pa.Table) -> pa.Table:
+        distinct, sums, places = _summed(table)
+        n, g, r = len(places), table.column("g")[0].as_py(), table.column("r")[0].as_py()
+        packed = [x.astype("<u4").tobytes() for x in places]
+        columns = [pa.array([*table.column("owner").to_pylist(), None], pa.string()), pa.array([g] * (n + 1), pa.int64()), pa.array([r] * (n + 1), pa.string())]
+        return pa.table([*columns, pa.array([None] * n + [_pack(distinct)], pa.binary()), pa.array([None] * n + [_pack_counts(sums)], pa.binary()), pa.array([*packed, None], pa.binary())], ["owner", "g", "r", "grams", "counts", "places"])
+
+    both = scratch.save(pieces.groupBy("g", "r").applyInArrow(merge, _PIECE + ", places binary"), "merged")
+
+    @trimmed
+    def split(batches):
+        for batch in batches:
+            for g, r, grams, counts in zip(*(batch.column(c).to_pylist() for c in ("g", "r", "grams", "counts")), strict=True):
+                yield _pieces(str(g), g // FAN, r, _unpack(grams), _unpack_counts(counts))
+
+    found = _totals(both.filter("owner is null").select("g", "r", "grams", "counts").mapInArrow(split, _PIECE), -(-groups // FAN), scratch)
+
+    @trimmed
+    def back(left: pa.Table, right: pa.Table) -> pa.Table:
+        sums = np.concatenate([_unpack_counts(x) for _, x in sorted(zip(right.column("r").to_pylist(), right.column("totals").to_pylist(), strict=True))])
+        blobs = [_pack_counts(sums[np.frombuffer(x, "<u4")]) for x in left.column("places").to_pylist()]
+        return pa.table([left.column("owner"), left.column("r"), pa.array(blobs, pa.binary())], ["owner", "r", "totals"])
+
+    members = both.filter("owner is not null").select("owner", "g", "r", "places").groupBy("g", "r")
+    sums = found.select(F.col("owner").cast("bigint").alias("g"), F.expr("left(r, length(r) - 2)").alias("up"), "r", "totals").groupBy("g", "up")
+    return scratch.save(members.cogroup(sums).applyInArrow(back, "owner string, r string, totals binary"), "totals")
+
+
 def backoff_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, log_score."""
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     chunks = scratch.save(_chunks(docs), "chunks")
-    n_words = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
-    buckets = max(8, min(1 << 20, -(-n_words * 2 // BUCKET_ENTRIES)))
-
-    @trimmed
-    def send(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                chunk, vocab, codes, sizes = _row(batch.slice(r, 1), ("chunk", "vocab", "codes", "sizes"))
-                for n in range(1, ORDER + 1):
+    size = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("words"), F.count("*").alias("chunks")).first()
+    n_words, groups = size.words or 0, max(1, -(-size.chunks // FAN))
+
+    def sender(n: int):
+        @trimmed
+        def send(batches):
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    chunk, vocab, codes, sizes = _row(batch.slice(r, 1), ("chunk", "vocab", "codes", "sizes"))
                     distinct, counts, _ = _grams(*_read(vocab, codes, sizes), n)
-                    cut = _cuts(distinct, buckets)
-                    for b in np.flatnonzero(np.diff(cut)):
-                        lo, hi = cut[b], cut[b + 1]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([b], pa.int32()), pa.array([chunk]), pa.array([n], pa.int32()), pa.array([_pack(distinct[lo:hi])], pa.binary()), pa.array([_pack_counts(counts[lo:hi])], pa.binary())],
-                            ["bucket", "chunk", "n", "grams", "counts"],
-                        )
+                    yield _pieces(chunk, zlib.crc32(chunk.encode()) % groups, "", distinct, counts)
 
-    @trimmed
-    def total(table: pa.Table) -> pa.Table:
-        grams = [_unpack(x) for x in table.column("grams").to_pylist()]
-        counts = [_unpack_counts(x) for x in table.column("counts").to_pylist()]
-        distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)[inverse]
-        cut = np.cumsum([len(g) for g in grams])[:-1]
-        blobs = [_pack_counts(x) for x in np.split(sums, cut)]
-        return pa.table([table.column("bucket"), table.column("chunk"), table.column("n"), pa.array(blobs, pa.binary())], ["bucket", "chunk", "n", "totals"])
-
-    sent = chunks.select("chunk", "vocab", "codes", "sizes").mapInArrow(send, "bucket int, chunk string, n int, grams binary, counts binary")
-    totals = sent.groupBy("bucket").applyInArrow(total, "bucket int, chunk string, n int, totals binary")
-    totals = scratch.save(totals, "totals")
+        return send
+
+    totals = None
+    for n in range(1, ORDER + 1):  # one at a time: its pieces are gone before those of the next
+        part = _totals(chunks.select("chunk", "vocab", "codes", "sizes").mapInArrow(sender(n), _PIECE), groups, scratch)
+        part = part.select(F.col("owner").alias("chunk"), F.lit(n).alias("n"), "r", "totals")
+        totals = part if totals is None else totals.union(part)
 
     @trimmed
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, vocab, codes, sizes = _row(left, ("ids", "vocab", "codes", "sizes"))
-        parts = sorted(zip(right.column("n").to_pylist(), right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))
+        parts = sorted(zip(right.column("n").to_pylist(), right.column("r").to_pylist(), right.column("totals").to_pylist(), strict=True))
         sums = [np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(x) for m, _, x in parts if m == n)]) for n in range(1, ORDER + 1)]
         scores = score_chunk(*_read(vocab, codes, sizes), sums, n_words)
         return pa.table([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(scores)], ["id", "n_words", "log_score"])
