@@ -506,7 +506,9 @@ def words(text, pattern):
     return re.findall(pattern, re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
 
 
-def test_op7_by_definition(spark, docs, empty):
+@pytest.mark.parametrize("fan", [128, 3])
+def test_op7_by_definition(spark, docs, empty, monkeypatch, fan):
+    monkeypatch.setattr(op7, "FAN", fan)
     split = {k: words(t, r"[^\x20\x09-\x0D]+") for k, t in TEXTS.items()}
     n = Counter(tuple(w[i : i + k]) for w in split.values() for k in (1, 2, 3) for i in range(len(w) - k + 1))
     total = sum(map(len, split.values()))
