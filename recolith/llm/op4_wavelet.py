@@ -8,8 +8,9 @@ compressed by the Parquet file that holds it, which lets any store that Spark wr
 
 The tokenizers library encodes every text. A text goes to it in pieces, cut where white space begins and between a letter
 or digit and a full stop, comma or the like: its byte-level pattern has no token across these places and looks at nothing
-before a token, so no piece depends on another, and the ids of a text are those of its pieces in order. Pieces
-that are one word of Latin letters, and so one token of that pattern, go straight to the library's model. A worker keeps
+before a token, so no piece depends on another, and the ids of a text are those of its pieces in order. Words of
+Latin letters, and the runs of letters, digits and signs of plain ASCII words, are one token of that pattern each and go
+straight to the library's model. A worker keeps
 the ids of up to 2 KNOWN short pieces, those of late use, so a word is not encoded again at each place; long texts are cut
 into parts of about PART characters first.
 
@@ -37,9 +38,10 @@ from recolith.llm.runtime import small_batches, trimmed
 
 MAGIC = b"RLWM1\0\0\0"
 BLOCK = 512
-SHARD_TOKENS = 1 << 22
+#: A shard's tokens and a plane of them stay in a core's cache.
+SHARD_TOKENS = 1 << 20
 #: Pieces in each of a worker's two generations, the longest of them, and characters that are cut into pieces at once.
-KNOWN, LONG, PART = 1 << 18, 64, 1 << 18
+KNOWN, LONG, PART = 1 << 19, 64, 1 << 18
 
 
 class Wavelet:
@@ -126,8 +128,8 @@ class Wavelet:
             z = self.zeros(level)
             out[z:] |= kind(1 << (self.width - 1 - level))
             above = np.empty_like(out)
-            np.place(above, ~ones, out[:z])
-            np.place(above, ones, out[z:])
+            above[np.flatnonzero(~ones)] = out[:z]
+            above[np.flatnonzero(ones)] = out[z:]
             out = above
         return out
 
@@ -155,6 +157,10 @@ def build(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, width: i
 
 
 _pieces = re.compile(r"\s*+(?:[^\s.,;:!?]++(?<=[A-Za-z0-9])(?=[.,;:!?])|\S++)|\s+").findall
+#: Visible ASCII without apostrophes, whose tokens of the pattern are its runs of letters, digits and others; angle
+#: brackets are left out, as special tokens begin with them.
+_simple = re.compile(r"[!-&(-;=?-~]+").fullmatch
+_runs = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+").findall
 _edge = re.compile(r"(?<=\S)\s").search
 
 
@@ -188,12 +194,19 @@ class Known(dict):
         if ids is None:
             spaced = piece[0] == " "
             word = piece[1:] if spaced else piece
-            if self.whole or not word.isalpha() or not (word.isascii() or max(word) < "ɐ"):
-                ids = array("I", self.full.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
-            else:  # one token of the pattern: the model's own part
+            if self.whole or not word:
+                ids = self._by_library(piece)
+            elif word.isalpha() and (word.isascii() or max(word) < "ɐ"):  # one token of the pattern: the model's own part
                 letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                made = self.tokenize(self.space + letters if spaced else letters)
-                ids = array("I", [t.id for t in made]).tobytes()
+                ids = self._by_model(self.space + letters if spaced else letters)
+            elif _simple(word):
+                runs = _runs(word)
+                if len(runs) == 1:
+                    ids = self._by_model(self.space + word if spaced else word)
+                else:
+                    ids = self[" " + runs[0] if spaced else runs[0]] + b"".join([self[r] for r in runs[1:]])
+            else:
+                ids = self._by_library(piece)
         if len(piece) <= LONG:
             if len(self) >= KNOWN:
                 self.old = dict(self)
@@ -201,6 +214,12 @@ class Known(dict):
             self[piece] = ids
         return ids
 
+    def _by_library(self, piece: str) -> bytes:
+        return array("I", self.full.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
+
+    def _by_model(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
 
 class ByteBpe:
     """Ids exactly as the tokenizers library gives them for a whole text with add_special_tokens=False."""
@@ -217,7 +236,7 @@ class ByteBpe:
         before = made["pre_tokenizer"] or {}
         plain = made["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
         self.whole = spaced or not plain
-        self.known = Known(self.full, any(t.content.strip().isalpha() for t in added))
+        self.known = Known(self.full, any(not t.content.startswith("<") for t in added))
 
     def encode(self, text: str) -> np.ndarray:
         if self.whole:  # another kind of tokenizer, whose tokens may cross the cuts
