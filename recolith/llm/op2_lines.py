@@ -85,10 +85,12 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
     """The rows of ``df`` with later repeated runs cut from their texts; counts adds n_lines and n_deleted;
     drop_emptied leaves out rows that lose every line that holds words."""
     scratch = Scratch(df.sparkSession)
-    text = F.col(text_col).cast("string")
-    docs = df.select(F.col(id_col).alias(_ID), F.xxhash64(text).alias(_OF), text.alias(_TEXT))
+    text, key = F.col(text_col).cast("string"), F.col(id_col)
+    alone = df.groupBy(key.alias(_ID)).agg(F.count("*").alias(_ROW)).filter(F.col(_ROW) > 1).isEmpty()
+    of = F.lit(0).cast("bigint") if alone else F.xxhash64(text)  # where no id is repeated, the id alone is the document
+    docs = df.select(key.alias(_ID), of.alias(_OF), text.alias(_TEXT))
     gone = scratch.last(deleted_lines(docs, scratch, min_words), "gone")
-    joined = df.join(gone, df[id_col].eqNullSafe(gone[_ID]) & (F.xxhash64(df[text_col].cast("string")) == gone[_OF]), "left")
+    joined = df.join(gone, df[id_col].eqNullSafe(gone[_ID]) & (of == gone[_OF]), "left")
     lines = F.transform(_lines(text), lambda line, k: F.struct(line.alias("line"), k.alias("k")))
     hit = F.coalesce(F.col(_GONE), F.array().cast("array<struct<lo:int,hi:int>>"))
     kept = F.filter(lines, lambda x: ~F.exists(hit, lambda r: (r["lo"] <= x["k"]) & (x["k"] <= r["hi"])))
