@@ -7,7 +7,8 @@ validates it. A run of digits is parsed once, from its first digit, whatever its
 Base kinds (email, ip, card, phone) are leftmost and non-overlapping within their kind; a match that fails its
 check is dropped with the text it covers. Added kinds: ``url_auth`` (user information in a URL), ``iban``
 (country code, ISO 13616 check), ``account`` (6 to 20 digits, or letters and digits, after a cue such as
-"account no"), ``ssn`` (3-2-4 digits after such a cue or alone with hyphens). Schemes and cues count in any mix of ASCII
+"account no"), ``ssn`` (3-2-4 digits after such a cue or alone with hyphens), ``secret`` (16 characters of a key or token, or
+more, with letters and digits, after a cue such as "token" and a separator; 6 or more of any after "password" and a colon or equals sign). Schemes and cues count in any mix of ASCII
 letter cases, user information at any length.
 
 Defined results: a null or empty text has no spans. Offsets are code points, the end exclusive. Only the id and
@@ -25,11 +26,14 @@ from pyspark.sql import DataFrame
 from recolith.llm.runtime import trimmed
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url_auth", "iban", "account", "ssn")
+KINDS = (*BASE, "url_auth", "iban", "account", "ssn", "secret")
 #: Schemes and cues, in lower case.
 SCHEMES = ("http://", "https://", "ftp://", "ftps://", "sftp://", "ssh://", "postgres://", "mysql://", "mongodb://", "redis://", "amqp://")
 CUES = ("account no", "account number", "account:", "acct no", "acct:", "iban", "passport no", "passport number", "routing no", "routing number", "ssn", "social security")
 
+KEYS = ("token", "api_key", "api-key", "apikey", "api key", "access_key", "access key", "secret", "secret_key", "bearer")
+PASSWORDS = ("password", "passwd", "passphrase")
+
 _DIGITS = "0123456789"
 _domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
 _groups = re.compile(r"[0-9]+(?:\.[0-9]+)*").match
@@ -39,6 +43,8 @@ _authority = re.compile(r"[^\s/?#@]++@[A-Za-z0-9.-]+").match
 _iban = re.compile(r"[ :#.]*(?ai:no\.?|number)?[ :#.]*([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])").match
 _value = re.compile(r"[ .:#]*(?:(?ai:is|no|number)\b)?[ .:#]*([A-Z]{0,2}[0-9](?:[ -]?[0-9]){5,19})(?![A-Za-z0-9])").match
 _ssn = re.compile(r"([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])").match
+_key = re.compile(r"[\"']?[ \t:=\"']+([A-Za-z0-9_+/=.-]{16,})").match
+_password = re.compile(r"[\"']?[ \t]*[:=][ \t]*[\"']?([^\s\"',;]{6,})").match
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -65,8 +71,9 @@ def _machine():
         a.add_word("+" + d, ("+", 2))
     for s in SCHEMES:
         a.add_word(s, ("s", len(s)))
-    for s in CUES:
-        a.add_word(s, ("c", len(s)))
+    for kind, cues in (("c", CUES), ("k", KEYS), ("p", PASSWORDS)):
+        for s in cues:
+            a.add_word(s, (kind, len(s)))
     a.make_automaton()
     return a
 
@@ -86,7 +93,7 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     if not _machines:
         _machines.append(_machine())
     spans: list[tuple[int, int, str]] = []
-    mail_end = dots_end = card_end = 0
+    mail_end = dots_end = card_end = secret_end = 0
     n = len(text)
     for last, (what, width) in _machines[0].iter(_lower(text)):
         at = last + 1 - width
@@ -128,6 +135,11 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
         elif what == "s":
             if m := _authority(text, last + 1):
                 spans.append((last + 1, text.index("@", last + 1), "url_auth"))
+        elif what in "kp":
+            if last + 1 >= secret_end and (m := (_key if what == "k" else _password)(text, last + 1)):
+                secret_end = m.end()  # a run is read once, whatever its number of cues
+                if what == "p" or (any(c in _DIGITS for c in m[1]) and any(c.isalpha() for c in m[1])):
+                    spans.append((m.start(1), m.end(1), "secret"))
         elif last + 1 < n:
             if (m := _iban(text, last + 1)) and iban_ok(m[1]):
                 spans.append((m.start(1), m.end(1), "iban"))
@@ -142,12 +154,12 @@ def spell(spans: list[tuple[int, int, str]]) -> str:
 
 
 def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per text: counts of the base kinds, the digest of the base spans, and all spans."""
+    """Per text: counts of the base kinds, the digest of the base spans, all spans and their number."""
 
     @trimmed
     def run(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for text in batch.column(1).to_pylist():
                 spans = find(text)
                 base = [x for x in spans if x[2] in BASE]
@@ -155,10 +167,11 @@ def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     out[k].append(sum(x[2] == kind for x in base))
                 out[4].append(hashlib.sha256(spell(base).encode()).hexdigest())
                 out[5].append(spell(spans))
-            columns = [pa.array(x, pa.int64() if k < 4 else pa.string()) for k, x in enumerate(out)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [id_col, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                out[6].append(len(spans))
+            columns = [pa.array(x, pa.string() if k in (4, 5) else pa.int64()) for k, x in enumerate(out)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [id_col, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
-    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
+    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_spans bigint"
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
