@@ -6,6 +6,7 @@ import atexit
 import ctypes
 import functools
 import inspect
+import re
 import shutil
 import tempfile
 import uuid
@@ -21,9 +22,12 @@ FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private one only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a private one only where that is unset and all tasks run in
+    this process."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="recolith-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)

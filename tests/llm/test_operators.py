@@ -663,6 +663,26 @@ def test_op9_added_spans(spark):
     assert [r.text for r in op9.mask(df).orderBy("doc_id").collect()] == ["mail [EMAIL] now", None]
 
 
+def test_op9_secrets(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    text = f'token = "{key}" and API_KEY: sk-Ab12Cd34Ef56Gh78, Bearer aaaa1111bbbb2222 password="hunter2!" a token of thanks, secret: allletterswithoutdigits passwd none'
+    got = {text[a:b] for a, b, kind in op9.find(text) if kind == "secret"}
+    assert got == {key, "sk-Ab12Cd34Ef56Gh78", "aaaa1111bbbb2222", "hunter2!"}
+    assert len(op9.find("token=" * 200_000)) == 0 and len(op9.find("password:" * 100_000)) == 1
+    row = op9.detect(spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert [r.n_spans for r in row] == [len(op9.find(text)), 0] and [x[2] for x in op9.find(text) if x[2] in op9.BASE] == []
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from recolith.llm.runtime import scratch_base
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_base(far)
+
+
 @pytest.mark.parametrize("fill", ["k", "é"])
 def test_op9_long_tokens_and_mixed_cases(fill):
     token = fill * 1000
