@@ -195,9 +195,8 @@ broken AS (
   UNION ALL SELECT 'V11_not_candidate', 'warning', s1 FROM item WHERE id = 'S3-none'
 )"""
 #: Letters of a are matched, in order, to the first free equal letter of b within reach.
-JARO = f"""RECURSIVE {RANKED},
-p AS (SELECT entity_id AS id, core_name AS co FROM clean),
-couple AS (SELECT s1_id, target_id, a.co AS a, b.co AS b FROM ranked JOIN p a ON s1_id = a.id JOIN p b ON target_id = b.id),
+WINKLER = """
+couple AS (SELECT s1_id, target_id, a.core_name AS a, b.core_name AS b FROM ranked JOIN clean a ON s1_id = a.entity_id JOIN clean b ON target_id = b.entity_id),
 walk AS (
   SELECT DISTINCT a, b, greatest(0, greatest(length(a), length(b)) // 2 - 1) AS reach, 0 AS i, []::BIGINT[] AS taken, '' AS letters FROM couple WHERE a <> b AND a <> '' AND b <> ''
   UNION ALL SELECT a, b, reach, i + 1, CASE WHEN j IS NULL THEN taken ELSE list_append(taken, j) END, letters || CASE WHEN j IS NULL THEN '' ELSE substr(a, i + 1, 1) END
@@ -283,7 +282,11 @@ ORACLES: dict[str, str] = {
     "postal_match": _feature("feat_postal_exact_match"),
     "number_overlap": _feature("feat_number_overlap_ratio"),
     "pair_features_native": _feature(*_native),
-    "jaro_winkler": _with(JARO, "SELECT s1_id, target_id, round(jw, 6) AS feat_name_jaro_winkler FROM winkler"),
+    "pair_features_all": _with(
+        f"RECURSIVE {FEATS}, {WINKLER}",
+        "SELECT s1_id, target_id, " + ", ".join(f"round({n}, 6) AS {n}" for n in _native) + ", round(jw, 6) AS feat_name_jaro_winkler FROM feats JOIN winkler USING (s1_id, target_id)",
+    ),
+    "jaro_winkler": _with(f"RECURSIVE {RANKED}, {WINKLER}", "SELECT s1_id, target_id, round(jw, 6) AS feat_name_jaro_winkler FROM winkler"),
     "f05_per_entity": _with(PER, "SELECT s1_id, n_true, n_pred, n_tp, round(f05, 6) AS f05, round(precision, 6) AS precision, round(recall, 6) AS recall FROM per"),
     "macro_f05": _with(PER, "SELECT round(avg(f05), 6) AS f05, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall FROM per"),
     "threshold_sweep": _with(SWEEP, "SELECT step, round(threshold, 6) AS threshold, round(f05, 6) AS f05, round(precision, 6) AS precision, round(recall, 6) AS recall FROM sweep"),

@@ -271,6 +271,12 @@ def pair_features_full(spark, sf_dir):
     return pairs.pair_features(b.ranked.select("s1_id", "target_id"), b.refs, b.targets)
 
 
+@query
+def pair_features_all(spark, sf_dir):
+    out = pair_features_full(spark, sf_dir)
+    return out.select("s1_id", "target_id", *[F.round(n, 6).alias(n) for n in out.columns if n.startswith("feat_")])
+
+
 @query
 def f05_per_entity(spark, sf_dir):
     b = Base(spark, sf_dir)
