@@ -184,26 +184,39 @@ def fit_labellers(patterns: list[tuple[tuple[int, ...], int]], names: tuple[str,
     return {tuple(v.tolist()): float(p) for v, p in zip(votes, post, strict=True)}
 
 
-def fit_scorer(rows: list[np.ndarray], want: np.ndarray) -> np.ndarray:
+def _blocks(rows: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, column, value) of STEP_ROWS rows at a time."""
+    out = []
+    for lo in range(0, len(rows), STEP_ROWS):
+        part = rows[lo : lo + STEP_ROWS]
+        cols, size = np.concatenate(part), [len(x) for x in part]
+        vals = np.repeat([_word_value(n) for n in size], size)
+        vals[cols < VOTE_FEATURES] = 1
+        out.append((np.repeat(np.arange(len(part), dtype=np.int32), size), cols, vals))
+    return out
+
+
+def fit_scorer(rows: list[np.ndarray], want: np.ndarray, blocks: list | None = None) -> np.ndarray:
     """Weights of a logistic scorer over hashed features, by full-batch gradient with per-feature steps; the last
-    weight is the bias."""
-    w = np.zeros(FEATURES + 1)
-    seen = np.full(FEATURES + 1, 1e-8)
+    weight is the bias. ``blocks`` are those of the rows, where they are made already."""
+    blocks = _blocks(rows) if blocks is None else blocks
+    present = np.unique(np.concatenate([np.zeros(0, np.int32), *(np.unique(cols) for _, cols, _ in blocks)]))
+    blocks = [(row, np.searchsorted(present, cols).astype(np.int32), vals) for row, cols, vals in blocks]  # others keep weight 0
+    w = np.zeros(len(present) + 1)
+    seen = np.full(len(w), 1e-8)
     for _ in range(EPOCHS if rows else 0):
         grad = 1e-6 * w
-        for lo in range(0, len(rows), STEP_ROWS):
-            part = rows[lo : lo + STEP_ROWS]
-            cols = np.concatenate(part)
-            row = np.repeat(np.arange(len(part)), [len(x) for x in part])
-            vals = np.repeat([_word_value(len(x)) for x in part], [len(x) for x in part])
-            vals[cols < VOTE_FEATURES] = 1
-            score = np.bincount(row, weights=w[cols] * vals, minlength=len(part)) + w[-1]
-            error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - want[lo : lo + STEP_ROWS]) / len(rows)
-            grad += np.bincount(cols, weights=error[row] * vals, minlength=FEATURES + 1)
+        for k, (row, cols, vals) in enumerate(blocks):
+            aim = want[k * STEP_ROWS : (k + 1) * STEP_ROWS]
+            score = np.bincount(row, weights=w[cols] * vals, minlength=len(aim)) + w[-1]
+            error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - aim) / len(rows)
+            grad += np.bincount(cols, weights=error[row] * vals, minlength=len(w))
             grad[-1] += error.sum()
         seen += grad * grad
         w -= 0.3 * grad / np.sqrt(seen)
-    return w
+    out = np.zeros(FEATURES + 1)
+    out[present], out[-1] = w[:-1], w[-1]
+    return out
 
 
 def toxic_terms(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id") -> Terms:
@@ -299,7 +312,8 @@ def fit(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id",
     table = sample.orderBy("id").toArrow()
     votes = table.column("votes").to_pylist()
     rows = [x.values.to_numpy() for x in table.column("x").combine_chunks()]
-    weights = [fit_scorer(rows, np.array([posterior[k][tuple(v[:q] if k == 0 else v[q:])] for v in votes])) for k in (0, 1)]
+    blocks = _blocks(rows)
+    weights = [fit_scorer(rows, np.array([posterior[k][tuple(v[:q] if k == 0 else v[q:])] for v in votes]), blocks) for k in (0, 1)]
     scratch.clear()
     return Judge(terms, posterior, [w.astype(np.float32) for w in weights])
 
