@@ -8,11 +8,9 @@ compressed by the Parquet file that holds it, which lets any store that Spark wr
 
 The tokenizers library encodes every text. A text goes to it in pieces, cut where white space begins and between a letter
 or digit and a full stop, comma or the like: its byte-level pattern has no token across these places and looks at nothing
-before a token, so no piece depends on another, and the ids of a text are those of its pieces in order. Words of
-Latin letters, and the runs of letters, digits and signs of plain ASCII words, are one token of that pattern each and go
-straight to the library's model. A worker keeps
-the ids of up to 2 KNOWN short pieces, those of late use, so a word is not encoded again at each place; long texts are cut
-into parts of about PART characters first.
+before a token, so no piece depends on another, and the ids of a text are those of its pieces in order. A worker keeps
+the ids of up to 2 KNOWN short pieces, those of late use, so a word is not encoded again at each place; the pieces of some
+GROUP characters that it doesn't know go to the library together. Long texts are cut into parts of about PART characters first.
 
 Defined results: a null or empty text has the end id only. Ids of documents are integers; rows that repeat an id follow
 each other in the order of their texts (null first), and equal rows are alike. Rows without an id are left out. Only the
@@ -28,6 +26,7 @@ import re
 import struct
 import zlib
 from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +39,9 @@ MAGIC = b"RLWM1\0\0\0"
 BLOCK = 512
 #: A shard's tokens and a plane of them stay in a core's cache.
 SHARD_TOKENS = 1 << 20
-#: Pieces in each of a worker's two generations, the longest of them, and characters that are cut into pieces at once.
-KNOWN, LONG, PART = 1 << 19, 64, 1 << 18
+#: Pieces in each of a worker's two generations, the longest of them, characters that are cut into pieces at once, and
+#: characters whose unknown pieces are encoded together.
+KNOWN, LONG, PART, GROUP = 1 << 19, 64, 1 << 18, 1 << 20
 
 
 class Wavelet:
@@ -157,11 +157,9 @@ def build(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, width: i
 
 
 _pieces = re.compile(r"\s*+(?:[^\s.,;:!?]++(?<=[A-Za-z0-9])(?=[.,;:!?])|\S++)|\s+").findall
-#: Visible ASCII without apostrophes, whose tokens of the pattern are its runs of letters, digits and others; angle
-#: brackets are left out, as special tokens begin with them.
-_simple = re.compile(r"[!-&(-;=?-~]+").fullmatch
-_runs = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+").findall
 _edge = re.compile(r"(?<=\S)\s").search
+#: The letter that stands for the byte of a space in a byte-level vocabulary.
+SPACE = "\u0120"
 
 
 def _parts(text: str):
@@ -174,51 +172,59 @@ def _parts(text: str):
         at = to
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: its own if printable, else from 256 up."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = iter(range(256, 512))
-    return {b: chr(b if b in own else next(rest)) for b in range(256)}
-
-
 class Known(dict):
-    """Ids, as bytes, of the pieces of late use; others are encoded when asked for."""
+    """Ids, as bytes, of the pieces of late use. Others give None and are asked of the library together by ``fill``."""
 
-    def __init__(self, full, whole: bool):
+    def __init__(self, full):
         super().__init__()
-        self.full, self.whole, self.tokenize, self.letters, self.old = full, whole, full.model.tokenize, _byte_letters(), {}
-        self.space = self.letters[32]
+        self.full, self.old, self.asked = full, {}, []
+        self.opens = np.zeros(full.get_vocab_size(with_added_tokens=True), bool)
+        self.opens[[i for token, i in full.get_vocab(with_added_tokens=True).items() if token.startswith(SPACE)]] = True
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes | None:
         ids = self.old.get(piece)
         if ids is None:
-            spaced = piece[0] == " "
-            word = piece[1:] if spaced else piece
-            if self.whole or not word:
-                ids = self._by_library(piece)
-            elif word.isalpha() and (word.isascii() or max(word) < "ɐ"):  # one token of the pattern: the model's own part
-                letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                ids = self._by_model(self.space + letters if spaced else letters)
-            elif _simple(word):
-                runs = _runs(word)
-                if len(runs) == 1:
-                    ids = self._by_model(self.space + word if spaced else word)
-                else:
-                    ids = self[" " + runs[0] if spaced else runs[0]] + b"".join([self[r] for r in runs[1:]])
-            else:
-                ids = self._by_library(piece)
-        if len(piece) <= LONG:
-            if len(self) >= KNOWN:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = ids
+            self.asked.append(piece)
+        else:
+            self._keep(piece, ids)
         return ids
 
-    def _by_library(self, piece: str) -> bytes:
-        return array("I", self.full.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
-
-    def _by_model(self, letters: str) -> bytes:
-        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+    def _keep(self, piece: str, ids: bytes) -> None:
+        if len(self) >= KNOWN:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+
+    def fill(self, found: list[list[bytes | None]]) -> None:
+        """Puts the ids of the pieces asked for since the last call where lookups, in the same order, gave None."""
+        asked, self.asked = self.asked, []
+        new = self._by_library(list(dict.fromkeys(asked)))
+        pieces = iter(asked)
+        for ids in found:
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                ids[at] = new[next(pieces)]
+        for piece, ids in new.items():
+            if len(piece) <= LONG:
+                self._keep(piece, ids)
+
+    def _by_library(self, pieces: list[str]) -> dict[str, bytes]:
+        """Pieces of one space and a word go in one text: the tokens that begin with a space are where they begin."""
+        new, words = {}, [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+        if words:
+            ids = np.array(self._encode(["".join(words)])[0].ids, "<u4")
+            at = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            if len(at) == len(words) and not at[0]:  # else piece by piece
+                held = ids.tobytes()
+                new = {p: held[a:b] for p, a, b in zip(words, at, [*at[1:], len(held)], strict=True)}
+        others = [p for p in pieces if p not in new]
+        for p, encoded in zip(others, self._encode(others), strict=True):
+            new[p] = array("I", encoded.ids).tobytes()
+        return new
+
+    def _encode(self, texts: list[str]):
+        return self.full.encode_batch_fast(texts, add_special_tokens=False)
 
 
 class ByteBpe:
@@ -236,13 +242,37 @@ class ByteBpe:
         before = made["pre_tokenizer"] or {}
         plain = made["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
         self.whole = spaced or not plain
-        self.known = Known(self.full, any(not t.content.startswith("<") for t in added))
+        self.known = Known(self.full)
 
     def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order. Pieces of up to GROUP characters are looked up before unknown ones are encoded."""
         if self.whole:  # another kind of tokenizer, whose tokens may cross the cuts
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
-        known = self.known.__getitem__
-        return np.frombuffer(b"".join([b"".join(map(known, _pieces(part))) for part in _parts(text)]), "<u4")
+            yield from (np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4") for text in texts)
+            return
+        known, held, size, done = self.known.__getitem__, [], 0, []
+        self.known.asked = []  # none of a task that ended early
+
+        def settle():
+            self.known.fill([ids for ids, _ in held])
+            for ids, last in held:
+                done.append(b"".join(ids))
+                if last:
+                    yield np.frombuffer(b"".join(done), "<u4")
+                    done.clear()
+            held.clear()
+
+        for text in texts:
+            for part in _parts(text):
+                held.append((list(map(known, _pieces(part))), False))
+                size += len(part)
+                if size >= GROUP:
+                    yield from settle()
+                    size = 0
+            held.append(([], True))
+        yield from settle()
 
 
 _coders: dict[str, ByteBpe] = {}
@@ -272,9 +302,10 @@ def write(df: DataFrame, path: str, json_path: str, end_id: int = 2, id_col: str
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 some = batch.slice(lo, 256)
-                for k, text, p in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
+                encoded = coder.encode_all([text or "" for text in some.column(1).to_pylist()])
+                for k, x, p in zip(some.column(0).to_pylist(), encoded, some.column(2).to_pylist(), strict=True):
                     part = p
-                    x = np.append(coder.encode(text or ""), np.uint32(end_id)).astype(_kind(width))
+                    x = np.append(x, np.uint32(end_id)).astype(_kind(width))
                     if held and held + len(x) > shard_tokens:
                         yield flush()
                     ids.append(k)
