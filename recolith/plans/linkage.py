@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recolith.functions.cleaning import clean_records
-from recolith.operators.blocking import TOP_K, block_scores, top_k
+from recolith.operators.blocking import TOP_K, ranked
 from recolith.operators.pairs import distractors, pair_features, sampled_targets, training_pairs
 from recolith.plans import model
 
@@ -18,7 +18,7 @@ def first_references(references: DataFrame, limit: int | None) -> DataFrame:
 
 def candidates(references: DataFrame, targets: DataFrame, k: int = TOP_K, sample_limit: int | None = None) -> DataFrame:
     """Ranked candidates of cleaned records; ``sample_limit`` takes the first references over all countries only."""
-    return top_k(block_scores(first_references(references, sample_limit), targets), k)
+    return ranked(first_references(references, sample_limit), targets, k)
 
 
 def training_sample(references: DataFrame, targets: DataFrame, truth: DataFrame, n_references: int = 12_000, n_targets: int = 40_000, seed: int = 731) -> tuple[DataFrame, DataFrame, DataFrame]:

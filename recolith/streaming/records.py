@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from recolith.functions.cleaning import clean_records
-from recolith.operators.blocking import TOP_K, block_scores, top_k
+from recolith.operators.blocking import TOP_K, ranked
 
 
 def clean_stream(records: DataFrame) -> DataFrame:
@@ -19,6 +19,6 @@ def rank_stream(records: DataFrame, targets: DataFrame, path: str, checkpoint: s
     cleaned = clean_records(targets)
 
     def run(batch: DataFrame, n: int) -> None:
-        top_k(block_scores(clean_records(batch), cleaned), k).write.mode("overwrite").parquet(f"{path}/batch={n}")
+        ranked(clean_records(batch), cleaned, k).write.mode("overwrite").parquet(f"{path}/batch={n}")
 
     return records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from hypothesis import given
@@ -11,7 +12,7 @@ from recolith.operators import audit, blocking, evaluation, keys, pairs, sets, v
 from recolith.__main__ import main
 from recolith.plans import benchmark, boosting, linkage, model, report
 from recolith.queries import QUERIES
-from recolith.sources import fixtures, records
+from recolith.sources import fixtures, records, view
 from recolith.streaming.records import rank_stream
 
 def frame(spark, *names):
@@ -365,3 +366,40 @@ def test_stream(spark, data, tmp_path):
     want = blocking.top_k(blocking.block_scores(refs, targets))
     got = spark.read.parquet(str(tmp_path / "out")).select(want.columns)
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def _keyed(spark, rows):
+    return spark.createDataFrame(rows, "entity_id string, core_name string, clean_address string, clean_country string")
+
+
+def test_copies_are_scored_once(spark):
+    refs = _keyed(spark, [(f"S1-{i:04d}", "acme foods", "12 rose lane 12345", "US") for i in range(600)] + [("S1-x", "acme tools", "", "US")])
+    targets = _keyed(spark, [(f"S2-{i:04d}", "acme foods", "12 rose lane 12345", "US") for i in range(700)] + [("S3-0", "acme tools", "", "US"), ("S3-1", "acme foods", "", "")])
+    (a, _), (b, _) = blocking._classes(refs), blocking._classes(targets)
+    assert blocking._shared(a, b, None).count() < 40  # keys that classes share, not pairs of records
+    scores = blocking.block_scores(refs, targets)
+    found = {tuple(r): n for *r, n in scores.groupBy("score").agg(F.count("*"), F.countDistinct("s1_id", "target_id")).select("score", "count(1)", "count(DISTINCT s1_id, target_id)").collect()}
+    assert sum(n for _, n in found) == sum(found.values()) == 601 * 701
+    few = blocking.ranked(refs, targets, 7)
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in blocking.top_k(scores, 7).collect()}
+    assert few.filter("s1_id = 'S1-0000'").orderBy("rank").first().target_id == "S2-0000"
+
+
+def test_keys_of_an_id_are_a_set(spark):
+    """A repeated id counts each key once, as in the SQL, and has the keys of all its rows."""
+    refs = _keyed(spark, [("S1-1", "acme foods", "", "US")] * 2 + [("S1-1", "zenith", "", "FR")])
+    targets = _keyed(spark, [("S2-1", "acme foods", "", "US"), ("S2-2", "zenith", "", "FR"), (None, "zenith", "", "FR")])
+    got = {r.target_id: r.score for r in blocking.block_scores(refs, targets).collect()}
+    once = {r.target_id: r.score for r in blocking.block_scores(_keyed(spark, [("S1-1", "acme foods", "", "US"), ("S1-2", "zenith", "", "FR")]), targets).collect()}
+    assert got == once and set(got) == {"S2-1", "S2-2"}
+
+
+def test_view_reads_the_first_words_only(spark, tmp_path):
+    texts = ["", " a  b\tc", "a b c d e f g", "one", "a \n", "x y z", None, "a b c d  ", "\t\t" + "w" * 5000 + " q r s t u v"]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in view.records(spark, str(tmp_path)).collect():
+        words = [*re.split("[ \t\r\n\f]+", texts[r.doc_id] or ""), *[""] * 5][:5]
+        form = view.FORMS[r.doc_id % 5]
+        assert r.business_name == " ".join([*words[:3], *[form] * bool(form)]) and r.business_address.startswith(f"{100 + len(words[0]) * 10 + len(words[1])} {words[3]} Street, {words[4]}")
+    assert "{0,4}" in view.records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()  # no split of whole texts
