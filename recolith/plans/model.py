@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from recolith.lexicon import FEATURES
 from recolith.operators.evaluation import best_threshold, macro_f05, threshold_sweep
+from recolith.operators.truth import Truth
 from recolith.plans import boosting
 
 
@@ -116,7 +117,7 @@ def tune(bundle: Bundle, entities: DataFrame, truth: DataFrame, scored: DataFram
     return bundle
 
 
-def cross_validate(pairs: DataFrame, entities: DataFrame, truth: DataFrame, settings: Settings | None = None, k: int = 3) -> DataFrame:
+def cross_validate(pairs: DataFrame, entities: DataFrame, truth: DataFrame | Truth, settings: Settings | None = None, k: int = 3) -> DataFrame:
     """(fold, threshold, f05, precision, recall) for held-out groups, and mean and population deviation by ``summary``."""
     s = settings or Settings()
     spark: SparkSession = pairs.sparkSession

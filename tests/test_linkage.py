@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from recolith.functions import similarity as sim
 from recolith.functions.cleaning import clean_records
 from recolith.operators import audit, blocking, evaluation, keys, pairs, sets, validation
+from recolith.operators.truth import GroupTruth
 from recolith.__main__ import main
 from recolith.plans import benchmark, boosting, linkage, model, report
 from recolith.queries import QUERIES
@@ -403,3 +404,40 @@ def test_view_reads_the_first_words_only(spark, tmp_path):
         form = view.FORMS[r.doc_id % 5]
         assert r.business_name == " ".join([*words[:3], *[form] * bool(form)]) and r.business_address.startswith(f"{100 + len(words[0]) * 10 + len(words[1])} {words[3]} Street, {words[4]}")
     assert "{0,4}" in view.records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()  # no split of whole texts
+
+
+def test_grouped_truth_equals_listed_truth(spark):
+    """Groups give what their listed pairs give, and no operator lists the pairs of a large group."""
+    refs = spark.createDataFrame([(f"S1-{i:03d}", "US" if i % 4 else "FR") for i in range(60)], "entity_id string, clean_country string")
+    targets = spark.createDataFrame([(f"S{2 + i % 2}-{i:03d}", "US" if i % 3 else "FR", i * 7 % 301) for i in range(300)], "entity_id string, clean_country string, load_seq int")
+    group = F.when(F.col("n") < 40, "x").otherwise(F.concat(F.lit("g"), (F.col("n") % 9).cast("string")))
+    a = refs.select(F.col("entity_id").alias("s1_id"), F.substring("entity_id", 4, 3).cast("int").alias("n")).select("s1_id", group.alias("group")).filter("s1_id <> 'S1-050'")
+    b = targets.select(F.col("entity_id").alias("target_id"), (F.substring("entity_id", 4, 3).cast("int") % 200).alias("n")).select("target_id", group.alias("group"))
+    b = b.union(spark.createDataFrame([(f"S2-y{i}", "x") for i in range(400)], "target_id string, group string"))  # more than a chunk
+    grouped, listed = GroupTruth(a, b), a.join(b, "group").select("s1_id", "target_id")
+    ids = refs.select(F.col("entity_id").alias("s1_id"))
+    near = ids.crossJoin(targets.select(F.col("entity_id").alias("target_id"))).filter("s1_id <> 'S1-007' and (pmod(xxhash64(s1_id, target_id), 40) = 0 or (target_id < 'S2-030' and s1_id < 'S1-030'))")
+    scored = near.withColumn("prob", F.pmod(F.xxhash64("s1_id", "target_id"), F.lit(100)) / 100)
+
+    def same(f):
+        left, right = ([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in f(t).collect()] for t in (grouped, listed))
+        assert left and sorted(left, key=str) == sorted(right, key=str)
+
+    same(lambda t: pairs.label_pairs(near, t))
+    same(lambda t: sets.outside(t, near))
+    same(lambda t: pairs.distractors(refs, targets, t, near))
+    same(lambda t: evaluation.per_entity(ids, t, near))
+    same(lambda t: evaluation.threshold_sweep(ids, t, scored))
+    same(lambda t: evaluation.blocking_recall(t, near))
+
+    def lists(df):
+        return df.groupBy("s1_id").agg(F.collect_set("target_id").alias("ids"))
+
+    same(lambda t: sets.truth_comparison(t, near) if t is grouped else sets.list_comparison(lists(t), lists(near)))
+
+
+@pytest.mark.parametrize("name", ["label_pairs", "id_set_ops", "f05_per_entity", "macro_f05", "best_threshold", "blocking_recall"])
+def test_no_join_of_all_true_pairs(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert joins and not any("head" in line and "lang" in line and "Inner, ((head" in line for line in joins)
