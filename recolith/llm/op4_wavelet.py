@@ -6,11 +6,12 @@ come before its ones, order kept). Each plane has a directory of ones before eve
 select is a binary search; access, counting and occurrence lookup read the planes only. The payload of a blob is
 compressed by the Parquet file that holds it, which lets any store that Spark writes to keep the shards.
 
-The tokenizers library encodes every text. A text goes to it in pieces, cut where white space begins and between a letter
-or digit and a full stop, comma or the like: its byte-level pattern has no token across these places and looks at nothing
-before a token, so no piece depends on another, and the ids of a text are those of its pieces in order. A worker keeps
-the ids of up to 2 KNOWN short pieces, those of late use, so a word is not encoded again at each place; the pieces of some
-GROUP characters that it doesn't know go to the library together. Long texts are cut into parts of about PART characters first.
+The tokenizers library encodes every text. A text goes to it in pieces, cut where white space begins, after a single line
+end, and between a letter or digit and a full stop, comma or the like: its byte-level pattern has no token across these
+places and looks at nothing before a token, so no piece depends on another, and the ids of a text are those of its pieces
+in order. The places are found in the bytes, some PART of them at once; a place that bytes can't tell to be one stays uncut. Of
+equal pieces in these bytes one is looked up, and the ids laid out by the places of all. A worker keeps the ids of up to 2
+KNOWN short pieces, those of late use, so a word is not encoded again each time; those it doesn't know go to the library together.
 
 Defined results: a null or empty text has the end id only. Ids of documents are integers; rows that repeat an id follow
 each other in the order of their texts (null first), and equal rows are alike. Rows without an id are left out. Only the
@@ -26,7 +27,7 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,9 @@ MAGIC = b"RLWM1\0\0\0"
 BLOCK = 512
 #: A shard's tokens and a plane of them stay in a core's cache.
 SHARD_TOKENS = 1 << 20
-#: Pieces in each of a worker's two generations, the longest of them, characters that are cut into pieces at once, and
-#: characters whose unknown pieces are encoded together.
-KNOWN, LONG, PART, GROUP = 1 << 19, 64, 1 << 18, 1 << 20
+#: Pieces in each of a worker's two generations, bytes of the longest of them, and bytes of text that are cut into pieces
+#: at once.
+KNOWN, LONG, PART = 1 << 19, 64, 1 << 22
 
 
 class Wavelet:
@@ -156,72 +157,86 @@ def build(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, width: i
     return b"".join(parts)
 
 
-_pieces = re.compile(r"\s*+(?:[^\s.,;:!?]++(?<=[A-Za-z0-9])(?=[.,;:!?])|\S++)|\s+").findall
-_edge = re.compile(r"(?<=\S)\s").search
+#: Bits for the byte before a place and for the byte after it; a text may be cut where they share one: before a space, tab
+#: or line end after what is not white space, and between a letter or digit and a mark.
+_BEFORE, _AFTER = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
+_BEFORE[0x21:0x7F] = 1
+_BEFORE[[c for c in range(0x80) if chr(c).isalnum()]] = 3
+_BEFORE[0x80:] = 3  # if the character that ends there allows it
+_AFTER[list(b" \t\n\r")] = 1
+_AFTER[list(b".,;:!?")] = 2
+#: White space of more than one byte, in UTF-8.
+_SPACES = [int.from_bytes(chr(c).encode()) for c in [0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]
+#: Bytes that show a text to go on without white space after a line end (0xC3 begins letters, and two signs, only).
+_GOES_ON = np.zeros(256, bool)
+_GOES_ON[[*range(0x21, 0x7F), 0xC3]] = True
 #: The letter that stands for the byte of a space in a byte-level vocabulary.
 SPACE = "\u0120"
 
 
-def _parts(text: str):
-    """A text in parts that end before white space that follows other characters."""
-    at = 0
-    while at < len(text):
-        m = _edge(text, at + PART) if len(text) - at > PART else None
-        to = m.start() if m else len(text)
-        yield text[at:to]
-        at = to
+def _bounds(buf: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    """The places, ascending, where the pieces of a buffer of UTF-8 begin, and its end; ``breaks`` are among them."""
+    at = np.flatnonzero(_BEFORE[buf[:-1]] & _AFTER[buf[1:]]) + 1
+    mask = np.zeros(len(buf) + 1, bool)
+    mask[at] = True
+    wide = at[buf[at - 1] >= 0x80]
+    if len(wide):
+        last, two = buf[wide - 1], buf[wide - 2].astype(np.int64) << 8 | buf[wide - 1]
+        letter = (buf[wide - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)
+        space = np.isin(two, _SPACES) | np.isin(buf[wide - 3].astype(np.int64) << 16 | two, _SPACES)
+        mask[wide] = np.where(_AFTER[buf[wide]] == 1, ~space, letter)
+    mask[breaks] = True
+    ends = np.flatnonzero(mask[:-2] & (buf[:-1] == 10)) + 1  # a line end that is all white space there is
+    mask[ends[_GOES_ON[buf[ends]]]] = True
+    return np.flatnonzero(mask)
 
 
 class Known(dict):
-    """Ids, as bytes, of the pieces of late use. Others give None and are asked of the library together by ``fill``."""
+    """Ids, as bytes, of the pieces of late use; others are asked of the library together."""
 
     def __init__(self, full):
         super().__init__()
-        self.full, self.old, self.asked = full, {}, []
+        self.full, self.old = full, {}
         self.opens = np.zeros(full.get_vocab_size(with_added_tokens=True), bool)
         self.opens[[i for token, i in full.get_vocab(with_added_tokens=True).items() if token.startswith(SPACE)]] = True
 
-    def __missing__(self, piece: str) -> bytes | None:
-        ids = self.old.get(piece)
-        if ids is None:
-            self.asked.append(piece)
-        else:
-            self._keep(piece, ids)
-        return ids
-
-    def _keep(self, piece: str, ids: bytes) -> None:
+    def _keep(self, piece: bytes, ids: bytes) -> None:
         if len(self) >= KNOWN:
             self.old = dict(self)
             self.clear()
         self[piece] = ids
 
-    def fill(self, found: list[list[bytes | None]]) -> None:
-        """Puts the ids of the pieces asked for since the last call where lookups, in the same order, gave None."""
-        asked, self.asked = self.asked, []
-        new = self._by_library(list(dict.fromkeys(asked)))
-        pieces = iter(asked)
-        for ids in found:
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                ids[at] = new[next(pieces)]
-        for piece, ids in new.items():
-            if len(piece) <= LONG:
-                self._keep(piece, ids)
-
-    def _by_library(self, pieces: list[str]) -> dict[str, bytes]:
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each of some different pieces."""
+        found = list(map(self.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        asked = []
+        for i in missing:
+            found[i] = ids = self.old.get(pieces[i])
+            if ids is None:
+                asked.append(i)
+        for i, ids in zip(asked, self._by_library([pieces[i].decode() for i in asked]), strict=True):
+            found[i] = ids
+        for i in missing:
+            if len(pieces[i]) <= LONG:
+                self._keep(pieces[i], found[i])
+        return found
+
+    def _by_library(self, pieces: list[str]) -> list[bytes]:
         """Pieces of one space and a word go in one text: the tokens that begin with a space are where they begin."""
-        new, words = {}, [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+        out: list[bytes | None] = [None] * len(pieces)
+        words = [i for i, p in enumerate(pieces) if p.rfind(" ") == 0 and len(p) > 1 and not p[1].isspace()]
         if words:
-            ids = np.array(self._encode(["".join(words)])[0].ids, "<u4")
+            ids = np.array(self._encode(["".join([pieces[i] for i in words])])[0].ids, "<u4")
             at = (4 * np.flatnonzero(self.opens[ids])).tolist()
-            if len(at) == len(words) and not at[0]:  # else piece by piece
+            if len(at) == len(words):  # else piece by piece
                 held = ids.tobytes()
-                new = {p: held[a:b] for p, a, b in zip(words, at, [*at[1:], len(held)], strict=True)}
-        others = [p for p in pieces if p not in new]
-        for p, encoded in zip(others, self._encode(others), strict=True):
-            new[p] = array("I", encoded.ids).tobytes()
-        return new
+                for i, a, b in zip(words, at, [*at[1:], len(held)], strict=True):
+                    out[i] = held[a:b]
+        others = [i for i, ids in enumerate(out) if ids is None]
+        for i, encoded in zip(others, self._encode([pieces[i] for i in others]), strict=True):
+            out[i] = array("I", encoded.ids).tobytes()
+        return out
 
     def _encode(self, texts: list[str]):
         return self.full.encode_batch_fast(texts, add_special_tokens=False)
@@ -245,34 +260,57 @@ class ByteBpe:
         self.known = Known(self.full)
 
     def encode(self, text: str) -> np.ndarray:
-        return next(self.encode_all([text]))
+        return next(self.encode_all(pa.array([text])))
 
-    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        """The ids of each text, in order. Pieces of up to GROUP characters are looked up before unknown ones are encoded."""
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of a column, in order; null is an empty text."""
+        texts = texts.cast(pa.large_string()).fill_null("")
         if self.whole:  # another kind of tokenizer, whose tokens may cross the cuts
-            yield from (np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4") for text in texts)
+            yield from (np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4") for text in texts.to_pylist())
             return
-        known, held, size, done = self.known.__getitem__, [], 0, []
-        self.known.asked = []  # none of a task that ended early
-
-        def settle():
-            self.known.fill([ids for ids, _ in held])
-            for ids, last in held:
-                done.append(b"".join(ids))
-                if last:
-                    yield np.frombuffer(b"".join(done), "<u4")
-                    done.clear()
-            held.clear()
-
-        for text in texts:
-            for part in _parts(text):
-                held.append((list(map(known, _pieces(part))), False))
-                size += len(part)
-                if size >= GROUP:
-                    yield from settle()
-                    size = 0
-            held.append(([], True))
-        yield from settle()
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8) if n and texts.buffers()[2] else np.zeros(0, np.uint8)
+        lo = 0
+        while lo < n:
+            hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PART, side="right")) - 1))
+            buf = data[offsets[lo] : offsets[hi]]
+            if len(buf) > PART:
+                yield np.concatenate(list(self._long(buf)))
+            else:
+                tokens, at = self._ids(buf, offsets[lo : hi + 1] - offsets[lo])
+                yield from (tokens[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
+            lo = hi
+
+    def _long(self, buf: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of a long text, by parts that end where it may be cut."""
+        at, size = 0, PART
+        while at < len(buf):
+            end = min(len(buf), at + size)
+            if end < len(buf):
+                end = at + int(_bounds(buf[at:end], np.array([0]))[-1])
+            if end > at:
+                yield self._ids(buf[at:end], np.array([0, end - at]))[0]
+                at, size = end, PART
+            else:
+                size *= 2
+
+    def _ids(self, buf: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The ids of the texts that lie one after the other in a buffer, and their offsets at its breaks."""
+        if not len(buf):
+            return np.zeros(0, "<u4"), [0] * len(breaks)
+        bounds = _bounds(buf, breaks)
+        pieces = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(buf)])
+        coded = pieces.dictionary_encode()
+        _, ends, held = coded.dictionary.buffers()
+        ends, held = np.frombuffer(ends, np.int32, len(coded.dictionary) + 1).tolist(), held.to_pybytes()
+        ids = self.known.ids_of([held[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        index, size = coded.indices.to_numpy(), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, many = np.cumsum(size) - size, size[index]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        at = np.repeat(first[index] - ends[:-1], many)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(ids), "<u4")[at], ends[np.searchsorted(bounds, breaks)].tolist()
 
 
 _coders: dict[str, ByteBpe] = {}
@@ -300,17 +338,14 @@ def write(df: DataFrame, path: str, json_path: str, end_id: int = 2, id_col: str
             return row
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                encoded = coder.encode_all([text or "" for text in some.column(1).to_pylist()])
-                for k, x, p in zip(some.column(0).to_pylist(), encoded, some.column(2).to_pylist(), strict=True):
-                    part = p
-                    x = np.append(x, np.uint32(end_id)).astype(_kind(width))
-                    if held and held + len(x) > shard_tokens:
-                        yield flush()
-                    ids.append(k)
-                    tokens.append(x)
-                    held += len(x)
+            part = batch.column(2)[0].as_py() if batch.num_rows else part
+            for k, x in zip(batch.column(0).to_pylist(), coder.encode_all(batch.column(1)), strict=True):
+                x = np.append(x, np.uint32(end_id)).astype(_kind(width))
+                if held and held + len(x) > shard_tokens:
+                    yield flush()
+                ids.append(k)
+                tokens.append(x)
+                held += len(x)
         if ids:
             yield flush()
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,6 +311,28 @@ def test_op4_cuts_and_forgets(monkeypatch):
         assert len(coder.known) <= 20 and len(coder.known.old) <= 20
 
 
+def test_op4_looks_up_equal_pieces_of_a_buffer_once(monkeypatch):
+    coder, asked, ids_of = op4.ByteBpe(BPE), [], op4.Known.ids_of
+    monkeypatch.setattr(op4.Known, "ids_of", lambda self, pieces: asked.extend(pieces) or ids_of(self, pieces))
+    text = "Seré, seré. stone,\n" * 5000
+    assert coder.encode(text).tolist() == coder.full.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(x.encode() for x in ["Seré", " seré", ",", ".", " stone", "\n"])
+
+
+@pytest.mark.parametrize("part", [1, 7, 60, 1 << 22])
+def test_op4_cuts_of_columns(monkeypatch, part):
+    monkeypatch.setattr(op4, "PART", part)
+    coder, rng = op4.ByteBpe(BPE), random.Random(part)
+    parts = [*" \n\t\r\x0b\x0c\x1c\x85\xa0\u1680\u180e\u2009\u2028\u202f\u205f\u3000\u200b", *"aZ9éÑß×÷€”あ中İ'.,;:!?-_", "😀", " the", " word", "'s", "<|endoftext|>"]
+    texts = [None, "", *("".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(4000)), None, "the end"]
+    want = [coder.full.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["not this", *texts], kind)
+        assert [x.tolist() for x in coder.encode_all(column.slice(1))] == want
+        assert [x.tolist() for x in coder.encode_all(column.slice(1001, 50))] == want[1000:1050]
+    assert list(coder.encode_all(pa.array([], pa.string()))) == []
+
+
 def test_op4_repeated_ids(spark, tmp_path):
     rows = [(1, "b"), (1, "a"), (1, None), (1, "a"), (0, "z"), (None, "gone")]
     op4.write(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), str(tmp_path / "w"), BPE)
