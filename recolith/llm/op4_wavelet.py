@@ -7,7 +7,7 @@ select is a binary search; access, counting and occurrence lookup read the plane
 compressed by the Parquet file that holds it, which lets any store that Spark writes to keep the shards.
 
 The tokenizers library encodes every text. A text goes to it in pieces, cut where white space begins, after a single line
-end, and between a letter or digit and a full stop, comma or the like: its byte-level pattern has no token across these
+end, and between a letter or digit and a full stop, comma or other mark: its byte-level pattern has no token across these
 places and looks at nothing before a token, so no piece depends on another, and the ids of a text are those of its pieces
 in order. The places are found in the bytes, some PART of them at once; a place that bytes can't tell to be one stays uncut. Of
 equal pieces in these bytes one is looked up, and the ids laid out by the places of all. A worker keeps the ids of up to 2
@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -157,6 +158,8 @@ def build(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, width: i
     return b"".join(parts)
 
 
+#: Marks that end a run of letters or digits; the vertical bar, which added tokens hold, is left out.
+MARKS = "".join(c for c in string.punctuation if c != "|")
 #: Bits for the byte before a place and for the byte after it; a text may be cut where they share one: before a space, tab
 #: or line end after what is not white space, and between a letter or digit and a mark.
 _BEFORE, _AFTER = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
@@ -164,7 +167,7 @@ _BEFORE[0x21:0x7F] = 1
 _BEFORE[[c for c in range(0x80) if chr(c).isalnum()]] = 3
 _BEFORE[0x80:] = 3  # if the character that ends there allows it
 _AFTER[list(b" \t\n\r")] = 1
-_AFTER[list(b".,;:!?")] = 2
+_AFTER[list(MARKS.encode())] = 2
 #: White space of more than one byte, in UTF-8.
 _SPACES = [int.from_bytes(chr(c).encode()) for c in [0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]
 #: Bytes that show a text to go on without white space after a line end (0xC3 begins letters, and two signs, only).
@@ -200,26 +203,31 @@ class Known(dict):
         self.opens = np.zeros(full.get_vocab_size(with_added_tokens=True), bool)
         self.opens[[i for token, i in full.get_vocab(with_added_tokens=True).items() if token.startswith(SPACE)]] = True
 
-    def _keep(self, piece: bytes, ids: bytes) -> None:
-        if len(self) >= KNOWN:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = ids
+    def _keep(self, pieces: list[bytes], ids: list[bytes]) -> None:
+        at = 0
+        while at < len(pieces):
+            if len(self) >= KNOWN:
+                self.old = dict(self)
+                self.clear()
+            to = at + KNOWN - len(self)
+            self.update(zip(pieces[at:to], ids[at:to], strict=True))
+            at = to
 
     def ids_of(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each of some different pieces."""
         found = list(map(self.get, pieces))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        asked = []
-        for i in missing:
-            found[i] = ids = self.old.get(pieces[i])
-            if ids is None:
-                asked.append(i)
-        for i, ids in zip(asked, self._by_library([pieces[i].decode() for i in asked]), strict=True):
-            found[i] = ids
-        for i in missing:
-            if len(pieces[i]) <= LONG:
-                self._keep(pieces[i], found[i])
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            names = [pieces[i] for i in missing]
+            ids = list(map(self.old.get, names))
+            asked = [k for k, x in enumerate(ids) if x is None]
+            for k, x in zip(asked, self._by_library([names[k].decode() for k in asked]), strict=True):
+                ids[k] = x
+            for i, x in zip(missing, ids, strict=True):
+                found[i] = x
+            if max(map(len, names)) > LONG:
+                short = [k for k, name in enumerate(names) if len(name) <= LONG]
+                names, ids = [names[k] for k in short], [ids[k] for k in short]
+            self._keep(names, ids)
         return found
 
     def _by_library(self, pieces: list[str]) -> list[bytes]:
@@ -252,7 +260,7 @@ class ByteBpe:
         self.full = tokenizers.Tokenizer.from_file(json_path)
         self.size = self.full.get_vocab_size(with_added_tokens=True)
         added = self.full.get_added_tokens_decoder().values()
-        spaced = any(re.search(r"[\s.,;:!?]", t.content) or t.lstrip or t.rstrip for t in added)
+        spaced = any(re.search(rf"\s|[^\W_][{re.escape(MARKS)}]", t.content) or t.lstrip or t.rstrip for t in added)
         made = json.loads(self.full.to_str())
         before = made["pre_tokenizer"] or {}
         plain = made["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]

@@ -314,16 +314,16 @@ def test_op4_cuts_and_forgets(monkeypatch):
 def test_op4_looks_up_equal_pieces_of_a_buffer_once(monkeypatch):
     coder, asked, ids_of = op4.ByteBpe(BPE), [], op4.Known.ids_of
     monkeypatch.setattr(op4.Known, "ids_of", lambda self, pieces: asked.extend(pieces) or ids_of(self, pieces))
-    text = "Seré, seré. stone,\n" * 5000
+    text = "Seré, seré. stone,\nstone### seré' stone|\n" * 5000
     assert coder.encode(text).tolist() == coder.full.encode(text, add_special_tokens=False).ids
-    assert sorted(asked) == sorted(x.encode() for x in ["Seré", " seré", ",", ".", " stone", "\n"])
+    assert sorted(asked) == sorted(x.encode() for x in ["Seré", " seré", ",", ".", " stone", "\n", "stone", "###", "'", " stone|"])
 
 
 @pytest.mark.parametrize("part", [1, 7, 60, 1 << 22])
 def test_op4_cuts_of_columns(monkeypatch, part):
     monkeypatch.setattr(op4, "PART", part)
     coder, rng = op4.ByteBpe(BPE), random.Random(part)
-    parts = [*" \n\t\r\x0b\x0c\x1c\x85\xa0\u1680\u180e\u2009\u2028\u202f\u205f\u3000\u200b", *"aZ9éÑß×÷€”あ中İ'.,;:!?-_", "😀", " the", " word", "'s", "<|endoftext|>"]
+    parts = [*" \n\t\r\x0b\x0c\x1c\x85\xa0\u1680\u180e\u2009\u2028\u202f\u205f\u3000\u200b", *"aZ9éÑß×÷€”あ中İ'.,;:!?-_|<>#$@()", "😀", " the", " word", "'s", "<|endoftext|>"]
     texts = [None, "", *("".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(4000)), None, "the end"]
     want = [coder.full.encode(t or "", add_special_tokens=False).ids for t in texts]
     for kind in (pa.string(), pa.large_string()):
