@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recolith.lexicon import FEATURES
@@ -20,7 +20,7 @@ from recolith.plans import boosting
 @dataclass
 class Settings:
     """Trees, step, depth and leaves, least rows of a leaf, share of rows and features of a tree, the weight of positive
-    pairs, and the most pairs that a model is fitted to: beyond that, a uniform sample by hash."""
+    pairs, and the group folds. A model is fitted to all pairs of its groups."""
 
     trees: int = 200
     step: float = 0.05
@@ -32,7 +32,6 @@ class Settings:
     positive_weight: float = 5.0
     seed: int = 42
     folds: int = 3
-    sample: int = 200_000
 
 
 @dataclass
@@ -67,26 +66,100 @@ def check_classes(pairs: DataFrame) -> int:
     return row.pos + row.neg
 
 
+def _arrow(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as binary values."""
+    ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in FEATURES], axis=1)
+
+
+def _members(batch: pa.RecordBatch) -> list[tuple[int, np.ndarray]]:
+    """Each part in the batch with its rows."""
+    lists = batch.column("parts")
+    part, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+    return [(int(p), row[part == p]) for p in np.unique(part)]
+
+
+def _edges(rows: DataFrame) -> dict[int, list[np.ndarray]]:
+    """For each part the upper bounds of the bins of each feature, but the last: exact quantiles of all of its pairs, at
+    the ranks k / BINS of them. Values are counted, and only the bounds reach the driver."""
+
+    def count(batches):
+        for batch in batches:
+            x, lists = _matrix(batch), [tuple(v or ()) for v in batch.column("parts").to_pylist()]
+            for some in sorted(set(lists)):
+                own = [i for i, v in enumerate(lists) if v == some]
+                for f in range(x.shape[1]):
+                    value, n = np.unique(x[own, f], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([some] * len(n), pa.list_(pa.int32())), pa.array(np.full(len(n), f, np.int32)), pa.array(value), pa.array(n)], ["parts", "feature", "value", "n"])
+
+    whole = Window.partitionBy("part", "feature")
+    counts = rows.select("parts", *FEATURES).mapInArrow(count, "parts array<int>, feature int, value double, n bigint").groupBy("parts", "feature", "value").agg(F.sum("n").alias("n"))
+    counts = counts.select(F.explode("parts").alias("part"), "feature", "value", "n").groupBy("part", "feature", "value").agg(F.sum("n").alias("n"))
+    counts = counts.withColumns({"upto": F.sum("n").over(whole.orderBy("value")), "all": F.sum("n").over(whole)})
+
+    def ranks(upto):
+        """How many of the ranks lie below."""
+        return F.least(F.lit(boosting.BINS - 1), F.floor((boosting.BINS * upto - 1) / F.greatest(F.col("all") - 1, F.lit(1))))
+
+    bounds = counts.filter((F.col("upto") < F.col("all")) & (ranks(F.col("upto")) > F.greatest(ranks(F.col("upto") - F.col("n")), F.lit(0))))
+    found: dict[int, list[list[float]]] = {}
+    for r in sorted(bounds.select("part", "feature", "value").collect()):
+        found.setdefault(r.part, [[] for _ in FEATURES])[r.feature].append(r.value)
+    return {p: [np.array(x, float) for x in lists] for p, lists in found.items()}
+
+
 def _fit_parts(pairs: DataFrame, parts, s: Settings) -> dict[int, Bundle]:
     """A bundle for each number in the array column ``parts`` of the pairs: for each group fold trees on the others, and a
-    sigmoid on their margins of the fold. A task fits one model; only fitted models, of bounded size, reach the driver."""
-    if check_classes(pairs) > s.sample:
-        pairs = pairs.orderBy(F.xxhash64("s1_id", "target_id", F.lit(s.seed)), "s1_id", "target_id").limit(s.sample)
-    rows = pairs.select(F.explode(parts).alias("part"), fold("s1_id", s.folds, s.seed).alias("fold"), F.col("label").cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES])
-    rows = rows.select(F.explode(F.sequence(F.lit(0), F.lit(s.folds - 1))).alias("model"), "*")
-
-    def run(table: pa.Table) -> pa.Table:
-        part, k = table.column("part")[0].as_py(), table.column("model")[0].as_py()
-        x = np.stack([table.column(c).to_numpy() for c in FEATURES], axis=1)
-        y, own = table.column("label").to_numpy().astype(float), table.column("fold").to_numpy() == k
-        order = np.lexsort((*x.T, y, own))  # the rows' order must not depend on the shuffle
-        x, y, own = x[order], y[order], own[order]
-        trees, base = boosting.fit_trees(x[~own], y[~own], s)
-        a, b = boosting.fit_scale(boosting.margins(trees, base, x[own]), y[own])
-        return pa.table([pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([json.dumps({"trees": trees, "base": base, "a": a, "b": b})])], ["part", "model", "fit"])
-
+    sigmoid on their margins of the fold. Every pair counts: it goes to the task of each of its models as bins, sorted
+    there, so that equal ones become one row with its counts. Only fitted models, of bounded size, reach the driver."""
+    check_classes(pairs)
+    rows = pairs.select(parts.alias("parts"), fold("s1_id", s.folds, s.seed).alias("fold"), F.col("label").cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    edges, folds = _edges(rows), s.folds
+    none = [np.zeros(0) for _ in FEATURES]
+
+    def encode(batches):
+        for batch in batches:
+            x, y, k = _matrix(batch), batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+            for p, own in _members(batch):
+                codes = boosting.encode(x[own], edges.get(p, none))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), p, np.int32)), pa.array(k[own]), pa.array(y[own]), _arrow(codes)], ["part", "fold", "label", "codes"])
+
+    def run(batches):
+        slot, kept = None, None
+        for batch in batches:
+            slots, starts = np.unique(batch.column("slot").to_numpy(), return_index=True)
+            for i, begin in zip(slots, starts, strict=True):
+                if i != slot and kept is not None:
+                    yield done(slot, kept)
+                if i != slot:
+                    slot, kept = i, (boosting.Store(len(FEATURES)), boosting.Store(len(FEATURES)))
+                end = begin + int((batch.column("slot").to_numpy() == i).sum())
+                some = batch.slice(begin, end - begin)
+                codes = np.frombuffer(b"".join(some.column("codes").to_pylist()), np.uint8).reshape(len(some), -1)
+                y, own = some.column("label").to_numpy() == 1, some.column("own").to_numpy(zero_copy_only=False)
+                for mine, to in zip((~own, own), kept, strict=True):
+                    to.add(codes[mine], y[mine])
+        if kept is not None:
+            yield done(slot, kept)
+
+    def done(slot: int, kept) -> pa.RecordBatch:
+        part, k = divmod(int(slot), folds)
+        bounds = edges.get(part, none)
+        (codes, pos, neg), (mine, mine_pos, mine_neg) = (x.rows() for x in kept)
+        trees, base = boosting.fit_rows(codes, pos, neg, bounds, s)
+        a, b = boosting.fit_scale(boosting.Scorer(trees, len(FEATURES), bounds).of_bins(base, mine), mine_pos, mine_pos + mine_neg)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([json.dumps({"trees": trees, "base": base, "a": a, "b": b})])], ["part", "model", "fit"])
+
+    bins = rows.mapInArrow(encode, "part int, fold int, label int, codes binary")
+    models = bins.select(F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("model"), "*")
+    models = models.select((F.col("part") * folds + F.col("model")).alias("slot"), (F.col("fold") == F.col("model")).alias("own"), "label", "codes")
+    placed = models.repartitionById((max(edges, default=0) + 1) * folds, F.col("slot")).sortWithinPartitions("slot", "own", "codes")  # the rows' order must not depend on the shuffle
     found: dict[int, Bundle] = {}
-    for r in sorted(rows.groupBy("part", "model").applyInArrow(run, "part int, model int, fit string").collect()):
+    for r in sorted(placed.mapInArrow(run, "part int, model int, fit string").collect()):
         found.setdefault(r.part, Bundle([])).models.append(json.loads(r.fit))
     return found
 
@@ -103,8 +176,8 @@ def predict(bundle: Bundle, pairs: DataFrame) -> DataFrame:
     def run(features: pd.DataFrame) -> pd.Series:
         x = features[names].to_numpy(float)
         total = np.zeros(len(x))
-        for m in models:
-            total += 1 / (1 + np.exp(-np.clip(m["a"] * boosting.margins(m["trees"], m["base"], x) + m["b"], -500, 500)))
+        for m, margin in zip(models, boosting.all_margins(models, x), strict=True):
+            total += 1 / (1 + np.exp(-np.clip(m["a"] * margin + m["b"], -500, 500)))
         return pd.Series(total / len(models))
 
     prob = F.pandas_udf(run, "double")(F.struct(*[F.col(c).cast("double").alias(c) for c in names]))

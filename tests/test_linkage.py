@@ -311,6 +311,55 @@ def test_trees_learn_and_stop(spark):
     assert boosting.fit_trees(x, np.ones(600), s)[0] == [] and boosting.fit_scale(np.zeros(3), np.ones(3)) == (1.0, 0.0)
 
 
+def test_equal_rows_count_as_often_as_they_come():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 5, (4000, 3)).astype(float)
+    y = (rng.random(4000) < 0.2 + 0.15 * x[:, 0]).astype(float)
+    s = model.Settings(trees=12, depth=4)
+    edges = boosting._edges(x)
+    bins = boosting.encode(x, edges)
+    kept = boosting.Store(3)
+    order = np.lexsort(bins.T)
+    kept.add(bins[order], y[order] == 1)
+    codes, pos, neg = kept.rows()
+    assert len(codes) == 125 and pos.sum() == y.sum() and (pos + neg).sum() == 4000
+    one, every = boosting.fit_rows(codes, pos, neg, edges, s), boosting.fit_trees(x, y, s)
+    got, want = (boosting.margins(*m, x) for m in (one, every))
+    assert np.allclose(got, want) and len(set(want)) > 20
+    walk = [boosting.Scorer(every[0], 3)._walk(t, boosting.encode(x, boosting.Scorer(every[0], 3).cuts)) for t in every[0]]
+    assert np.allclose(want, every[1] + sum(walk))
+    a, b = boosting.fit_scale(want, y), boosting.fit_scale(np.repeat(want, 2), np.repeat(y, 2) / 2, np.full(8000, 0.5))
+    assert np.allclose(a, b)
+    chunk, boosting.CHUNK, small, boosting.IN_MEMORY = boosting.CHUNK, 100, boosting.IN_MEMORY, 64
+    try:  # many chunks and files give the same trees
+        assert np.allclose(boosting.margins(*boosting.fit_trees(x, y, s), x), want)
+    finally:
+        boosting.CHUNK, boosting.IN_MEMORY = chunk, small
+
+
+def _many_pairs(spark, n: int, positive: str):
+    """Pairs whose label the hash of their number decides, in features that say little."""
+    from recolith.lexicon import FEATURES
+
+    df = spark.range(n).selectExpr("concat('S1-', id % 997) as s1_id", "concat('S2-', id) as target_id", f"cast({positive} as int) as label", "id")
+    return df.select("s1_id", "target_id", "label", *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(3 + 5 * k)).cast("double").alias(c) for k, c in enumerate(FEATURES)])
+
+
+def test_bounds_are_quantiles_of_all_pairs(spark):
+    import numpy as np
+
+    from recolith.lexicon import FEATURES
+
+    pairs_ = _many_pairs(spark, 3001, "id % 2").repartition(5)
+    rows = pairs_.select(F.when(F.col("target_id") < "S2-2", F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1))).alias("parts"), "target_id", *FEATURES)
+    got = model._edges(rows)
+    for part, mine in ((0, rows), (1, rows.filter("size(parts) = 2"))):
+        want = boosting._edges(np.array([tuple(r) for r in mine.select(*FEATURES).collect()]))
+        assert all(np.array_equal(a, b) for a, b in zip(got[part], want, strict=True))
+
+
 def test_sampled_training(spark, data):
     refs, targets, truth = data
     real = pairs.truth_pairs(truth)
