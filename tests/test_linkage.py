@@ -360,6 +360,20 @@ def test_bounds_are_quantiles_of_all_pairs(spark):
         assert all(np.array_equal(a, b) for a, b in zip(got[part], want, strict=True))
 
 
+def test_models_are_fitted_to_every_pair(spark):
+    """More pairs than the former bound of 200,000: the base margin of each model tells how many pairs it has read."""
+    import numpy as np
+
+    pairs_ = _many_pairs(spark, 230_000, "pmod(xxhash64(id, 9), 7) = 0").persist()
+    s = model.Settings(trees=1, depth=1, positive_weight=1.0)
+    folds = pairs_.groupBy(model.fold("s1_id", s.folds, s.seed).alias("f")).agg(F.sum("label").alias("pos"), F.count("*").alias("n")).collect()
+    bundle = model.fit(pairs_, s)
+    for k, m in enumerate(bundle.models):
+        pos, n = (sum(r[c] for r in folds if r.f != k) for c in ("pos", "n"))
+        assert np.isclose(m["base"], np.log(pos / (n - pos)), rtol=1e-12)
+    pairs_.unpersist()
+
+
 def test_sampled_training(spark, data):
     refs, targets, truth = data
     real = pairs.truth_pairs(truth)
