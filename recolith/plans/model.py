@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -191,20 +192,21 @@ def tune(bundle: Bundle, entities: DataFrame, truth: DataFrame, scored: DataFram
 
 
 def cross_validate(pairs: DataFrame, entities: DataFrame, truth: DataFrame | Truth, settings: Settings | None = None, k: int = 3) -> DataFrame:
-    """(fold, threshold, f05, precision, recall) for held-out groups, and mean and population deviation by ``summary``."""
+    """(fold, threshold, f05, precision, recall) for held-out groups, all folds at once, and mean and population deviation by ``summary``."""
     s = settings or Settings()
     spark: SparkSession = pairs.sparkSession
     rows, mine = [], fold("s1_id", k, s.seed + 1)
     bundles = _fit_parts(pairs, F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != mine), s)
+    tests = [predict(bundles[i], pairs.filter(mine == i)).select("s1_id", "target_id", "prob") for i in range(k)]
+    scored = reduce(DataFrame.union, tests).persist()
+    best = {r.fold: r.threshold for r in best_threshold(threshold_sweep(entities, truth, scored, mine.alias("fold")), "fold").collect()}
+    limits = [float(best.get(i, 0.5)) for i in range(k)]
+    chosen = scored.filter(F.col("prob") >= F.get(F.array(*map(F.lit, limits)), mine))
+    found = {r.fold: r for r in macro_f05(entities, truth, chosen, mine.alias("fold")).collect()}
+    scored.unpersist()
     for i in range(k):
-        model = bundles[i]
-        test = entities.filter(mine == i)
-        scored = predict(model, pairs.filter(mine == i)).select("s1_id", "target_id", "prob").persist()
-        real = truth.filter(mine == i)
-        tune(model, test, real, scored)
-        m = macro_f05(test, real, scored.filter(F.col("prob") >= model.threshold)).first()
-        scored.unpersist()
-        rows.append((i, float(model.threshold), m.f05, m.precision, m.recall))
+        m = found.get(i)
+        rows.append((i, limits[i], m and m.f05, m and m.precision, m and m.recall))
     return spark.createDataFrame(rows, "fold int, threshold double, f05 double, precision double, recall double")
 
 

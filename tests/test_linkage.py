@@ -374,6 +374,25 @@ def test_models_are_fitted_to_every_pair(spark):
     pairs_.unpersist()
 
 
+def test_cross_validation_counts_each_fold_alone(spark, data):
+    refs, targets, truth = data
+    real = pairs.truth_pairs(truth)
+    s = model.Settings(trees=2, depth=2, folds=2)
+    ranked = blocking.top_k(blocking.block_scores(refs, targets)).select("s1_id", "target_id")
+    features = pairs.pair_features(pairs.training_pairs(ranked, pairs.distractors(refs, targets, real, ranked), real), refs, targets).persist()
+    entities = refs.select(F.col("entity_id").alias("s1_id"))
+    got = {r.fold: r for r in model.cross_validate(features, entities, real, s, 2).collect()}
+    mine = model.fold("s1_id", 2, s.seed + 1)
+    bundles = model._fit_parts(features, F.filter(F.sequence(F.lit(0), F.lit(1)), lambda i: i != mine), s)
+    for i in range(2):
+        scored = model.predict(bundles[i], features.filter(mine == i))
+        some, own = entities.filter(mine == i), real.filter(mine == i)
+        best = model.tune(bundles[i], some, own, scored).threshold
+        m = evaluation.macro_f05(some, own, scored.filter(F.col("prob") >= best)).first()
+        assert got[i].threshold == best and [got[i][c] for c in ("f05", "precision", "recall")] == pytest.approx([m.f05, m.precision, m.recall])
+    features.unpersist()
+
+
 def test_sampled_training(spark, data):
     refs, targets, truth = data
     real = pairs.truth_pairs(truth)
